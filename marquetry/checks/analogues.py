@@ -69,8 +69,9 @@ WHERE l_returnflag = 'A' OR (l_returnflag = 'R' AND o_orderstatus = 'F')"""
 
 TITLE_CREW = """
 SELECT 'tt' || CAST(l_orderkey AS STRING) AS tconst,
-       listagg(CASE WHEN l_returnflag = 'N' THEN 'nm' || CAST(l_suppkey AS STRING) END, ',') AS directors,
-       listagg(CASE WHEN l_linestatus = 'O' THEN 'nm' || CAST(l_suppkey AS STRING) END, ',') AS writers
+       'nm' || CAST(min(CASE WHEN l_returnflag = 'N' THEN l_suppkey END) AS STRING)
+           || ',nm' || CAST(max(CASE WHEN l_returnflag = 'N' THEN l_suppkey END) AS STRING) AS directors,
+       'nm' || CAST(max(CASE WHEN l_linestatus = 'O' THEN l_suppkey END) AS STRING) AS writers
 FROM {lineitem} GROUP BY l_orderkey"""
 
 PRINCIPALS = """
@@ -87,8 +88,10 @@ SELECT 'nm' || CAST(s_suppkey AS STRING) AS nconst,
        CASE WHEN s_nationkey < 12 THEN 'actor' ELSE 'director,writer' END AS primaryProfession,
        CASE WHEN s_nationkey <> 3 THEN known END AS knownForTitles
 FROM {supplier} LEFT JOIN (
-    SELECT l_suppkey, listagg('tt' || CAST(l_orderkey AS STRING), ',') AS known
-    FROM {lineitem} WHERE l_quantity = 50 GROUP BY l_suppkey) ON l_suppkey = s_suppkey"""
+    SELECT l_suppkey, 'tt' || CAST(min(l_orderkey) AS STRING) || ',tt' || CAST(max(l_orderkey) AS STRING)
+           || ',tt' || CAST(max(CASE WHEN l_quantity = 50 THEN l_orderkey ELSE -1 END) AS STRING)
+           || ',tt' || CAST(min(CASE WHEN l_tax = 0 THEN l_orderkey ELSE 0 END) AS STRING) AS known
+    FROM {lineitem} GROUP BY l_suppkey) ON l_suppkey = s_suppkey"""
 
 # A gold-shaped table straight from orders, for checks of the measure layer.
 MODEL = """

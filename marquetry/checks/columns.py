@@ -12,7 +12,7 @@ from ..operators.groups import cond_max
 from ..operators.joins import lookup_join
 from ..operators.rank import top1_per_group
 from ..operators.reshape import explode_list, flag_columns as flags
-from ..plans.top_title import flag_lists, list_rank
+from ..plans.top_title import flag_lists, places_before
 from .analogues import LIST_ROWS, frame, inline
 from .registry import check, table
 
@@ -245,8 +245,8 @@ def concat_null(spark: SparkSession, sf: str) -> DataFrame:
            THEN CAST(split_part(split_part(type, 'moviemeter=', 2), ',', 1) AS BIGINT) - 1 ELSE 0 END AS rnk
     FROM {inline(LIST_ROWS)}""")
 def rank_offset(spark: SparkSession, sf: str) -> DataFrame:
-    rank = list_rank(F.col("type"), F.col("rnk"))
-    return frame(spark, sf, LIST_ROWS).select("tconst", "type", rank.cast("bigint").alias("rnk"))
+    rank = F.col("rnk") + places_before(F.col("type"))
+    return frame(spark, sf, LIST_ROWS).select("tconst", "type", rank.alias("rnk"))
 
 
 @check("SELECT o_orderkey, '2024-05-17' AS last_refresh_date FROM orders")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import filtered_left_join, skew_join
+from ..operators.joins import anti_join, filtered_left_join, skew_join
 from ..operators.reshape import explode_list
 from ..operators.resolve import resolve_entities
 from ..plans.gold import gold_star as star
@@ -27,19 +27,14 @@ def left_join_documents_labels(spark: SparkSession, sf: str) -> DataFrame:
 def inner_multi_key(spark: SparkSession, sf: str) -> DataFrame:
     part = table(spark, sf, "part")
     tops = part.groupBy("p_name", "p_size", "p_type").agg(F.max("p_retailprice").alias("top_price"))
-    p, q = part.alias("p"), tops.alias("q")
-    same = (
-        (F.col("p.p_name") == F.col("q.p_name"))
-        & (F.col("p.p_size") == F.col("q.p_size"))
-        & (F.col("q.p_type") == "PROMO")
-    )
-    return p.join(q, same).select("p_partkey", "top_price")
+    promo = tops.filter("p_type = 'PROMO'").drop("p_type")
+    return skew_join(part, promo, ["p_name", "p_size"]).select("p_partkey", "top_price")
 
 
 @check("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def anti_one_key(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").select("doc_id", "source")
-    return documents.join(table(spark, sf, "labels"), "doc_id", "left_anti")
+    return anti_join(documents, table(spark, sf, "labels"), ["doc_id"])
 
 
 @check("""
@@ -49,9 +44,8 @@ def anti_one_key(spark: SparkSession, sf: str) -> DataFrame:
 def anti_three_keys(spark: SparkSession, sf: str) -> DataFrame:
     on = ["l_partkey", "l_returnflag", "l_linenumber"]
     lines = table(spark, sf, "lineitem")
-    done = lines.filter("l_linestatus = 'F'").select(*on).distinct()
     open_lines = lines.filter("l_linestatus = 'O'").select(*on, "l_extendedprice")
-    return open_lines.join(done, on, "left_anti")
+    return anti_join(open_lines, lines.filter("l_linestatus = 'F'"), on)
 
 
 @check("""
@@ -60,7 +54,8 @@ def anti_three_keys(spark: SparkSession, sf: str) -> DataFrame:
 def not_exists(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(
         """SELECT c_custkey, c_name FROM {customer} c WHERE NOT EXISTS (
-            SELECT 1 FROM {orders} o WHERE o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F')""",
+            SELECT 1 FROM (SELECT DISTINCT o_custkey FROM {orders} WHERE o_orderstatus = 'F') o
+            WHERE o.o_custkey = c.c_custkey)""",
         customer=table(spark, sf, "customer"),
         orders=table(spark, sf, "orders"),
     )

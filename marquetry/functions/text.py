@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it.
+
+    Inside conditions and lambdas a repeated expression is computed again each time.
+    """
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def yes_no(condition: Column) -> Column:
     """``'Y'`` where true, ``'N'`` where false or unknown."""
     return F.when(condition, F.lit("Y")).otherwise(F.lit("N"))
@@ -22,7 +32,7 @@ def money(text: Column) -> Column:
 
 def title_id(text: Column) -> Column:
     """The first ``tt…`` id in a link, or null."""
-    return non_empty(F.regexp_extract(text, r"(tt\d+)", 1))
+    return bind(F.regexp_extract(text, r"(tt\d+)", 1), non_empty)
 
 
 def path_part(url: Column, position: int) -> Column:
@@ -43,23 +53,27 @@ def _character(code: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
 
+def _reference(part: Column) -> Column:
+    """Text after ``&#`` with the reference it starts with, if valid, resolved."""
+    hexa = non_empty(F.regexp_extract(part, "^[xX]([0-9a-fA-F]{1,6});", 1))
+    deci = non_empty(F.regexp_extract(part, "^([0-9]{1,7});", 1))
+    rest = F.regexp_replace(part, "^[^;]*;", "")
+
+    def resolved(code: Column) -> Column:
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(valid, F.concat(_character(code), rest)).otherwise(F.concat(F.lit("&#"), part))
+
+    return bind(F.coalesce(F.conv(hexa, 16, 10), deci).try_cast("bigint"), resolved)
+
+
 def _numeric_references(text: Column) -> Column:
-    def piece(part: Column, i: Column) -> Column:
-        hexa = non_empty(F.regexp_extract(part, "^[xX]([0-9a-fA-F]{1,6});", 1))
-        deci = non_empty(F.regexp_extract(part, "^([0-9]{1,7});", 1))
-        code = F.coalesce(F.conv(hexa, 16, 10), deci).try_cast("bigint")
-        valid = (i > 0) & code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        rest = F.regexp_replace(part, "^[^;]*;", "")
-        raw = F.when(i > 0, F.concat(F.lit("&#"), part)).otherwise(part)
-        return F.when(valid, F.concat(_character(code), rest)).otherwise(raw)
-
-    pieces = F.transform(F.split(text, "&#"), piece)
+    pieces = F.transform(F.split(text, "&#"), lambda p, i: F.when(i > 0, _reference(p)).otherwise(p))
     return F.when(F.contains(text, F.lit("&#")), F.array_join(pieces, "")).otherwise(text)
 
 
 def markup_text(html: Column) -> Column:
     """Text of a markup fragment: tags removed, character references resolved."""
-    text = _numeric_references(F.regexp_replace(html, "<[^>]*>", ""))
+    text = bind(F.regexp_replace(html, "<[^>]*>", ""), _numeric_references)
     for name, char in NAMED_REFERENCES.items():
         text = F.replace(text, F.lit(name), F.lit(char))
     return F.replace(text, F.lit("&amp;"), F.lit("&"))

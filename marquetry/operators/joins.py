@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Estimated size from which on the many side of a join is checked for hot keys.
+SALT_FROM_BYTES = 1 << 30
+
+
 def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -27,17 +31,30 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     )
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate; filters and joins only make it too high."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def skew_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    salt_from: int = SALT_FROM_BYTES,
 ) -> DataFrame:
     """Join many-to-one ``left`` to ``right`` on equally named columns.
 
     Rows of a hot left key (null included) are spread over as many salts as the
     key fills average partitions, and the matching right rows are repeated once
-    per salt. All other keys keep salt 0, so they cost nothing extra.
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    per salt. All other keys keep salt 0, so they cost nothing extra. Below
+    ``salt_from`` estimated bytes even all rows in one task are no burden, and the
+    keys are not counted. ``how`` is ``inner``, ``left``, ``left_semi`` or
+    ``left_anti``.
     """
     on = list(on)
+    if estimated_bytes(left) < salt_from:
+        return left.join(right, on, how)
     hot = F.broadcast(hot_keys(left, on))
 
     def with_salts(df: DataFrame) -> DataFrame:
@@ -53,6 +70,12 @@ def skew_join(
     return many.drop("_salts", "_mix").join(one.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
+def anti_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left rows without a partner; copies of right keys are combined map-side."""
+    on = list(on)
+    return skew_join(left, right.select(*on).distinct(), on, "left_anti")
+
+
 def hashable(df: DataFrame) -> list[str]:
     """Columns that ``xxhash64`` accepts."""
     return [n for n, t in df.dtypes if "map<" not in t and t != "variant"]
@@ -78,10 +101,22 @@ def lookup_join(
 
 
 def filtered_left_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], right_filter: Column
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    right_filter: Column,
+    salt_from: int = SALT_FROM_BYTES,
 ) -> DataFrame:
-    """Left join whose ON clause also filters the right side.
+    """One-to-many left join whose ON clause also filters the right side.
 
     Left rows without a passing partner stay; the filter reaches the right scan.
+    An outer join cannot split a hot right key, so a large right side is joined as
+    the salted inner part and the left rows without partner.
     """
-    return left.join(right.filter(right_filter), list(on), "left")
+    on = list(on)
+    kept = right.filter(right_filter)
+    if estimated_bytes(kept) < salt_from:
+        return left.join(kept, on, "left")
+    columns = [*left.columns, *[c for c in right.columns if c not in on]]
+    matched = skew_join(kept, left, on, salt_from=salt_from).select(*columns)
+    return matched.unionByName(anti_join(left, kept, on), allowMissingColumns=True)

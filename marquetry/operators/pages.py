@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import (
+    bind,
     element,
     elements,
     markup_text,
@@ -27,7 +28,7 @@ from ..sources.manifest import Sites
 NO_ID = "NA"
 NO_NUMBER = -1
 
-ROW = (
+ROWS = (
     "array<struct<tconst:string,rnk:bigint,type:string,movie_name:string,"
     "movie_year:bigint,box_office:bigint>>"
 )
@@ -47,21 +48,16 @@ _PAGE_DATA = (
     f"searchResults:struct<titleResults:struct<titleListItems:{_ITEMS}>>>>"
 )
 _LISTS = [
-    "pageData.chartTitles.edges",
-    "cmsContext.transformedPlacements.`center-3`.transformedArguments.items",
-    "searchResults.titleResults.titleListItems",
+    ["pageData", "chartTitles", "edges"],
+    ["cmsContext", "transformedPlacements", "center-3", "transformedArguments", "items"],
+    ["searchResults", "titleResults", "titleListItems"],
 ]
 _SCRIPT = r"""(?is)<script\b[^>]*\bid\s*=\s*["']?__NEXT_DATA__["']?[^>]*>(.*?)</script\s*>"""
 
 
-def _list_rows(pages: DataFrame, wanted: Column, sites: Sites) -> DataFrame:
-    """Add ``_list_rows`` and ``_list_why`` for pages with an embedded list."""
-    script = F.when(wanted, non_empty(F.regexp_extract("html", _SCRIPT, 1)))
-    data = F.from_json("_script", _PAGE_DATA, {"columnNameOfCorruptRecord": "_bad"})
-    filled = [
-        F.when(F.size(f"_data.props.pageProps.{path}") > 0, F.col(f"_data.props.pageProps.{path}"))
-        for path in _LISTS
-    ]
+def _list_read(url: Column, html: Column, sites: Sites) -> Column:
+    """struct(rows, reason) of a page with an embedded list."""
+    kind = source_type(url, sites.search)
 
     def row(x: Column, i: Column) -> Column:
         def own(*path: str) -> Column:
@@ -74,35 +70,37 @@ def _list_rows(pages: DataFrame, wanted: Column, sites: Sites) -> DataFrame:
         return F.struct(
             F.coalesce(own("id"), non_empty(x["titleId"]), F.lit(NO_ID)).alias("tconst"),
             F.coalesce(rank, (i + 1).cast("bigint")).alias("rnk"),
-            F.col("_type").alias("type"),
+            kind.alias("type"),
             F.coalesce(own("titleText", "text"), x["titleText"]).alias("movie_name"),
             F.coalesce(own("releaseYear", "year"), x["releaseYear"]).try_cast("bigint").alias("movie_year"),
             F.lit(NO_NUMBER).cast("bigint").alias("box_office"),
         )
 
-    return (
-        pages.withColumn("_script", script)
-        .withColumn("_data", data)
-        .withColumn("_items", F.coalesce(*filled))
-        .withColumn("_type", source_type(F.col("url"), sites.search))
-        .withColumn("_list_rows", F.transform("_items", row))
-        .withColumn(
-            "_list_why",
-            F.when(F.col("_script").isNull(), "no embedded data")
-            .when(F.col("_data._bad").isNotNull(), "embedded data is not readable"),
+    def first_filled(data: Column) -> Column:
+        lists = []
+        for path in _LISTS:
+            found = data["props"]["pageProps"]
+            for step in path:
+                found = found[step]
+            lists.append(F.when(F.size(found) > 0, found))
+        return F.coalesce(*lists)
+
+    def of_data(data: Column) -> Column:
+        return F.struct(
+            F.transform(first_filled(data), row).cast(ROWS).alias("rows"),
+            F.when(data["_bad"].isNotNull(), "embedded data is not readable").alias("reason"),
         )
-        .drop("_script", "_data", "_items", "_type")
-    )
 
+    def of_script(script: Column) -> Column:
+        data = F.from_json(script, _PAGE_DATA, {"columnNameOfCorruptRecord": "_bad"})
+        return F.when(script != "", bind(data, of_data)).otherwise(_no_rows("no embedded data"))
 
-def _table_rows(pages: DataFrame, wanted: Column, sites: Sites) -> DataFrame:
-    """Add ``_table_rows`` and ``_table_why`` for pages with a revenue table."""
-    yearly = page_layout(F.col("url"), sites) == "yearly table"
-    first_table = F.when(wanted, non_empty(element(F.col("html"), "table")))
-    cells = F.filter(
-        F.transform(elements(F.col("_table"), "tr"), lambda r: elements(r, "td")),
-        lambda c: F.size(c) > 0,
-    )
+    return bind(F.regexp_extract(html, _SCRIPT, 1), of_script)
+
+
+def _table_read(url: Column, html: Column, sites: Sites) -> Column:
+    """struct(rows, reason) of a page with a revenue table."""
+    yearly = page_layout(url, sites) == "yearly table"
 
     def whole(cell: Column) -> Column:
         return F.replace(markup_text(cell), F.lit(","), F.lit("")).try_cast("bigint")
@@ -112,9 +110,9 @@ def _table_rows(pages: DataFrame, wanted: Column, sites: Sites) -> DataFrame:
         return F.struct(
             F.when(yearly, F.lit(NO_ID)).otherwise(title_id(link)).alias("tconst"),
             F.when(yearly, F.lit(NO_NUMBER).cast("bigint")).otherwise(whole(F.get(c, 0))).alias("rnk"),
-            F.when(yearly, F.lit(NO_ID)).otherwise(path_part(F.col("url"), -2)).alias("type"),
+            F.when(yearly, F.lit(NO_ID)).otherwise(path_part(url, -2)).alias("type"),
             markup_text(F.get(c, 1)).alias("movie_name"),
-            F.when(yearly, path_part(F.col("url"), -1).try_cast("bigint"))
+            F.when(yearly, path_part(url, -1).try_cast("bigint"))
             .otherwise(whole(F.get(c, 7)))
             .alias("movie_year"),
             money(markup_text(F.get(c, 2))).alias("box_office"),
@@ -126,16 +124,25 @@ def _table_rows(pages: DataFrame, wanted: Column, sites: Sites) -> DataFrame:
             ok = ok & r[name].isNotNull()
         return ok
 
-    return (
-        pages.withColumn("_table", first_table)
-        .withColumn("_table_rows", F.transform(cells, row))
-        .withColumn(
-            "_table_why",
-            F.when(F.col("_table").isNull(), "no table")
-            .when(~F.forall("_table_rows", complete), "a table row is not readable"),
+    def of_rows(rows: Column) -> Column:
+        readable = F.forall(rows, complete)
+        return F.struct(
+            rows.cast(ROWS).alias("rows"),
+            F.when(~readable, "a table row is not readable").alias("reason"),
         )
-        .drop("_table")
-    )
+
+    def of_table(table: Column) -> Column:
+        cells = F.filter(
+            F.transform(elements(table, "tr"), lambda r: elements(r, "td")), lambda c: F.size(c) > 0
+        )
+        read = bind(F.transform(cells, row), of_rows)
+        return F.when(table != "", read).otherwise(_no_rows("no table"))
+
+    return bind(element(html, "table"), of_table)
+
+
+def _no_rows(reason: str) -> Column:
+    return F.struct(F.lit(None).cast(ROWS).alias("rows"), F.lit(reason).alias("reason"))
 
 
 def page_layout(url: Column, sites: Sites) -> Column:
@@ -150,16 +157,14 @@ def page_layout(url: Column, sites: Sites) -> Column:
 def read_pages(pages: DataFrame, sites: Sites) -> DataFrame:
     """(url, rows, reason) of every page, each read by the layout of its site.
 
-    Keep this result when both rows and rejects are wanted: reading is the
-    expensive part.
+    The result goes through ``inline`` so that a later filter on ``reason`` sees
+    finished columns instead of reading the page a second time.
     """
-    revenue = page_layout(F.col("url"), sites) != "list"
-    read = _table_rows(_list_rows(pages.select("url", "html"), ~revenue, sites), revenue, sites)
-    return read.select(
-        "url",
-        F.when(revenue, F.col("_table_rows")).otherwise(F.col("_list_rows")).cast(ROW).alias("rows"),
-        F.when(revenue, F.col("_table_why")).otherwise(F.col("_list_why")).alias("reason"),
+    url, html = F.col("url"), F.col("html")
+    read = F.when(page_layout(url, sites) == "list", _list_read(url, html, sites)).otherwise(
+        _table_read(url, html, sites)
     )
+    return pages.select("url", F.inline(F.array(read)))
 
 
 def page_rows(read: DataFrame) -> DataFrame:
@@ -208,35 +213,30 @@ def extract_lookup(
     table = F.regexp_extract(
         "html", r"""(?is)<table\b[^>]*\bclass\s*=\s*["'][^"'>]*\bwikitable\b[^>]*>(.*?)</table\s*>""", 1
     )
-    cells = F.transform(elements(table, "tr"), lambda r: elements(r, "td|th"))
-    texts = F.transform(F.col("_cells"), lambda r: F.transform(r, _stripped))
-    heads = F.get("_texts", 0)
+    texts = F.transform(
+        elements(table, "tr"), lambda r: F.transform(elements(r, "td|th"), _stripped)
+    )
 
-    def place(part: str) -> Column:
+    def place(heads: Column, part: str) -> Column:
         hits = F.transform(heads, lambda h: F.contains(h, F.lit(part)))
         return F.nullif(F.array_position(hits, True), F.lit(0).cast("bigint")).cast("int") - 1
 
-    places = F.struct(*[place(part).alias(name) for name, part in headings.items()])
-    missing = F.lit(False)
-    for name in headings:
-        missing = missing | F.col(f"_places.{name}").isNull()
-    message = F.concat(F.lit("expected table or columns not found: "), F.col("url"))
-    body = F.slice("_texts", F.lit(skip + 1), F.size("_texts"))
-    rows = F.filter(body, lambda r: F.size(r) > 0)
-    read = (
-        pages.select("url", "html")
-        .withColumn("_cells", cells)
-        .withColumn("_texts", texts)
-        .withColumn("_places", places)
-        .withColumn("_missing", missing)
-    )
-    if strict:
-        rows = F.when(F.col("_missing"), F.raise_error(message)).otherwise(rows)
-    else:
-        read = read.filter(~F.col("_missing"))
-    return read.withColumn("_row", F.explode(rows)).select(
-        *[F.get("_row", F.col(f"_places.{name}")).alias(name) for name in headings]
-    )
+    def body(rows: Column, places: Column) -> Column:
+        found = F.lit(True)
+        for name in headings:
+            found = found & places[name].isNotNull()
+        message = F.concat(F.lit("expected table or columns not found: "), F.col("url"))
+        filled = F.filter(F.slice(rows, F.lit(skip + 1), F.size(rows)), lambda r: F.size(r) > 0)
+        picked = F.transform(
+            filled, lambda r: F.struct(*[F.get(r, places[name]).alias(name) for name in headings])
+        )
+        return F.when(found, picked).otherwise(F.raise_error(message) if strict else F.lit(None))
+
+    def read(rows: Column) -> Column:
+        places = F.struct(*[place(F.get(rows, 0), part).alias(n) for n, part in headings.items()])
+        return bind(places, lambda p: body(rows, p))
+
+    return pages.select(F.inline(bind(texts, read)))
 
 
 def _stripped(cell: Column) -> Column:

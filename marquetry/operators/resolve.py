@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import anti_join
 from .rank import top1_per_group
 
 
@@ -28,18 +29,12 @@ def resolve_entities(
     reduced to one row per group before they meet and no pairs are built.
     """
     on = list(on)
-    taken = with_id.select(key).distinct()
     best = top1_per_group(
-        entities.select(key, *on, prefer.alias("_prefer")).join(taken, key, "left_anti"),
+        anti_join(entities.select(key, *on, prefer.alias("_prefer")), with_id, [key]),
         on,
         [F.col("_prefer").desc_nulls_last(), F.col(key).asc()],
     )
-    known = with_id.select(*on, value).distinct()
-    named = (
-        without_id.select(*on, value)
-        .distinct()
-        .join(known, [*on, value], "left_anti")
-        .groupBy(*on)
-        .agg(F.max(value).alias(value))
-    )
+    triple = [*on, value]
+    new = anti_join(without_id.select(*triple).distinct(), with_id, triple)
+    named = new.groupBy(*on).agg(F.max(value).alias(value))
     return named.join(best, on).select(key, value)

@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import yes_no
-from ..operators.groups import cond_max, sorted_set
+from ..operators.groups import cond_max, string_list
 from ..operators.joins import lookup_join
 from ..operators.pages import NO_ID
 from ..operators.reshape import flag_columns
+from ..sources.scratch import stage
 
 # How a list type tells which list it is.
 BY_LANGUAGE = "%primary_language%,%"
@@ -35,10 +36,10 @@ def list_language(kind: Column) -> Column:
     return code
 
 
-def list_rank(kind: Column, rank: Column) -> Column:
-    """Rank over all pages of a paged list: page rank plus the page's offset."""
+def places_before(kind: Column) -> Column:
+    """Places on earlier pages of a paged list, 0 for other lists."""
     first = F.regexp_extract(kind, FIRST_PLACE_OF_PAGE, 1).try_cast("bigint")
-    return rank + F.when(kind.like(BY_POPULARITY), first - 1).otherwise(0)
+    return F.when(kind.like(BY_POPULARITY), first - 1).otherwise(F.lit(0).cast("bigint"))
 
 
 def list_flags(kind: Column) -> dict[str, Column]:
@@ -52,13 +53,13 @@ def list_flags(kind: Column) -> dict[str, Column]:
     }
 
 
-def flag_lists(list_rows: DataFrame) -> DataFrame:
-    """List rows with language code, overall rank and one Y/N column per flag."""
+def describe_lists(kinds: DataFrame) -> DataFrame:
+    """Language code, page offset and one Y/N column per flag of each list type."""
     kind = F.col("type")
-    flagged = list_rows.select(
-        "tconst",
+    flagged = kinds.select(
+        "type",
         list_language(kind).alias("lang_code"),
-        list_rank(kind, F.col("rnk")).cast("bigint").alias("rnk"),
+        places_before(kind).alias("_before"),
         *flag_columns(list_flags(kind)),
     )
     on_top_list = F.col("in_top_1000") == "Y"
@@ -67,28 +68,57 @@ def flag_lists(list_rows: DataFrame) -> DataFrame:
     return flagged.withColumn("is_top_title", yes_no(on_top_list))
 
 
+def flag_lists(list_rows: DataFrame, lang: DataFrame | None = None) -> DataFrame:
+    """List rows with overall rank, flags and, given ``lang``, the language name.
+
+    There are far fewer list types than rows, so the patterns run once per type
+    and the rows look the outcome up. The types are staged because the size check
+    and the join both read them.
+    """
+    typed = list_rows.select("tconst", "rnk", F.coalesce("type", F.lit("")).alias("type"))
+    lists = describe_lists(typed.select("type").distinct())
+    if lang is not None:
+        lists = lookup_join(lists, lang.select("lang_code", "lang_name"), ["lang_code"])
+    rows = lookup_join(typed, stage(lists, "lists"), ["type"])
+    return rows.withColumn("rnk", F.col("rnk").cast("bigint") + F.col("_before")).drop("_before")
+
+
 def build_top_title(list_rows: DataFrame, lang: DataFrame) -> DataFrame:
     """Languages, ranks and flags per title.
 
-    Maxima and the language set combine map-side, so a title listed very often
-    sends one partial row per task.
+    The ranks and flags are plain maxima, which combine map-side in a hash
+    aggregate; a title listed very often sends one partial row per task. The few
+    rows with a language make a second, narrow aggregate on the same key.
     """
 
     def is_yes(name: str) -> Column:
         return F.col(name) == "Y"
 
     known = list_rows.filter(F.col("tconst").isNotNull() & (F.col("tconst") != NO_ID))
-    named = lookup_join(flag_lists(known), lang.select("lang_code", "lang_name"), ["lang_code"])
-    languages = sorted_set(F.col("lang_name"))
+    named = flag_lists(known, lang)
     ranks = {
         "top_title_rnk": is_yes("is_top_title"),
         "popularity_rnk": is_yes("is_popular"),
         "language_popularity_rnk": is_yes("is_primary_lang") & is_yes("is_asc"),
         "language_votes_rnk": is_yes("is_primary_lang") & is_yes("is_desc"),
     } | {rank: is_yes(f"on_{rank}") for rank in CHARTS}
-    return named.groupBy("tconst").agg(
-        F.when(F.size(languages) > 0, F.array_join(languages, "; ")).alias("language_lst"),
+    ranked = named.groupBy("tconst").agg(
         *cond_max(ranks, F.col("rnk")),
-        F.max("in_top_1000").alias("is_top_1000_movie"),
-        F.max("is_top_title").alias("is_top_title"),
+        F.max(is_yes("in_top_1000")).alias("_in_top_1000"),
+        F.max(is_yes("is_top_title")).alias("_on_top_list"),
+    )
+    languages = string_list(
+        named.filter(F.col("lang_name").isNotNull()),
+        ["tconst"],
+        F.col("lang_name"),
+        "language_lst",
+        "; ",
+        distinct=True,
+    )
+    return ranked.join(languages, "tconst", "left").select(
+        "tconst",
+        "language_lst",
+        *ranks,
+        yes_no(F.col("_in_top_1000")).alias("is_top_1000_movie"),
+        yes_no(F.col("_on_top_list")).alias("is_top_title"),
     )
