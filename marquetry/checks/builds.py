@@ -12,8 +12,8 @@ from ..plans import boxoffice, crew, gold, title, top_title
 from ..plans.gold import COLUMNS, TITLE_TYPES
 from ..plans.model import model_projection
 from ..plans.report import overview
-from ..sources.delimited import load_all
-from ..sources.scratch import scratch_path
+from ..sources.delimited import load_all, run_together
+from ..sources.scratch import scratch_path, stage
 from .analogues import (
     BASICS,
     GROSS_ROWS,
@@ -186,13 +186,19 @@ def build_crew(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(GOLD_SQL)
 def build_gold(spark: SparkSession, sf: str) -> DataFrame:
-    built = gold.build_gold(
-        build_title(spark, sf),
-        build_crew(spark, sf),
-        build_top_title(spark, sf),
-        build_boxoffice(spark, sf),
-        RUN_DATE,
+    # As in a refresh, gold reads silver tables that were written before.
+    titles = stage(build_title(spark, sf), "title")
+    gross = frame(spark, sf, GROSS_ROWS)
+    silver = run_together(
+        spark,
+        {
+            "crew": lambda: stage(build_crew(spark, sf), "crew"),
+            "top": lambda: stage(build_top_title(spark, sf), "top_title"),
+            "boxoffice": lambda: stage(boxoffice.build_boxoffice(gross, titles), "boxoffice"),
+        },
+        parallelism=3,
     )
+    built = gold.build_gold(titles, silver["crew"], silver["top"], silver["boxoffice"], RUN_DATE)
     return built.withColumn("last_refresh_date", F.col("last_refresh_date").cast("string"))
 
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+_schemas: dict[str, StructType] = {}
+
 
 def check(sql: str, name: str | None = None) -> Callable[[Query], Query]:
     def register(query: Query) -> Query:
@@ -23,4 +26,8 @@ def check(sql: str, name: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table; its schema is read from the footer only the first time."""
+    path = f"{sf.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
