@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..operators.joins import anti_join, filtered_left_join, skew_join
 from ..operators.reshape import explode_list
 from ..operators.resolve import resolve_entities
-from ..plans.gold import gold_star as star
 from ..plans.gold import TITLE_TYPES
+from ..plans.gold import gold_star as star
+from ..plans.top_title import CHARTS
 from .analogues import BASICS, GROSS_ROWS, PRINCIPALS, RATINGS, frame, inline
 from .registry import check, table
 
@@ -92,25 +93,34 @@ def explode_lookup(spark: SparkSession, sf: str) -> DataFrame:
                       string_agg(nconst, '; ' ORDER BY nconst) FILTER (category = 'actress') AS actress_lst
                FROM {inline(PRINCIPALS)} GROUP BY tconst),
          g AS (SELECT tconst, max(box_office) AS box_office FROM {inline(GROSS_ROWS)} GROUP BY tconst)
-    SELECT t.tconst, title_type, num_votes, director_lst, actor_lst, actress_lst, box_office
-    FROM t LEFT JOIN c USING (tconst) LEFT JOIN g USING (tconst)
+    SELECT t.tconst, title_type, num_votes, director_lst, actor_lst, actress_lst, box_office,
+           CASE WHEN o_orderstatus = 'F' THEN o_custkey ELSE 9999 END AS top_250_movie_rnk,
+           CAST(9999 AS BIGINT) AS top_250_tv_rnk, 'N' AS is_top_1000_movie,
+           CASE WHEN o_orderstatus = 'F' THEN 'Y' ELSE 'N' END AS is_top_title
+    FROM t LEFT JOIN c USING (tconst) LEFT JOIN g USING (tconst) JOIN orders ON 'tt' || o_orderkey = t.tconst
     WHERE title_type IN ({", ".join(repr(t) for t in TITLE_TYPES)})""")
 def gold_star(spark: SparkSession, sf: str) -> DataFrame:
     ratings = frame(spark, sf, RATINGS).select("tconst", F.col("numVotes").alias("num_votes"))
     title = frame(spark, sf, BASICS).select("tconst", F.col("titleType").alias("title_type"))
     crew = frame(spark, sf, PRINCIPALS).select("tconst", "category", F.col("nconst").alias("name"))
-    charts = "tconst string, top_250_movie_rnk bigint, top_250_tv_rnk bigint, top_indian_movie_rnk bigint, \
-        top_malayalam_movie_rnk bigint, top_tamil_movie_rnk bigint, top_telugu_movie_rnk bigint, \
-        is_top_1000_movie string, is_top_title string"
+    listed = F.col("o_orderstatus") == "F"
+    top = table(spark, sf, "orders").select(
+        F.concat(F.lit("tt"), "o_orderkey").alias("tconst"),
+        F.when(listed, F.col("o_custkey")).alias("top_250_movie_rnk"),
+        *[F.lit(None).cast("bigint").alias(chart) for chart in CHARTS if chart != "top_250_movie_rnk"],
+        F.lit(None).cast("string").alias("is_top_1000_movie"),
+        F.when(listed, "Y").alias("is_top_title"),
+    )
     joined = star(
         title.join(ratings, "tconst", "left"),
         crew,
-        spark.createDataFrame([], charts),
+        top,
         frame(spark, sf, GROSS_ROWS).select("tconst", "box_office"),
     )
     return joined.select(
-        "tconst", "title_type", "num_votes", "director_lst", "actor_lst", "actress_lst", "box_office"
-    )
+        "tconst", "title_type", "num_votes", "director_lst", "actor_lst", "actress_lst", "box_office",
+        "top_250_movie_rnk", "top_250_tv_rnk", "is_top_1000_movie", "is_top_title",
+    )
 
 
 @check("""

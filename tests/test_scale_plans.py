@@ -1,0 +1,78 @@
+"""What the plans of the registered queries must and must not contain."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.001"
+BUILDS = [
+    "build_title", "build_top_title", "build_boxoffice", "build_crew", "gold_star", "entity_resolve",
+    "top1_per_group", "cond_string_list", "case_key_join", "explode_lookup", "left_join_on_predicate",
+]
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", BUILDS)
+def test_no_pairs_and_no_single_task(spark, name):
+    plan = plan_of(entry.queries()[name](spark, SF))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "SinglePartition" not in plan and "PythonUDF" not in plan and "Scan ExistingRDD" not in plan
+
+
+def test_numbering_windows_only_the_partition_sizes(spark):
+    plan = plan_of(entry.queries()["global_row_number"](spark, SF))
+    for window in re.findall(r"Window \[.*", plan):
+        assert "_rows" in window
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = plan_of(entry.queries()["filter_in"](spark, SF))
+    assert re.search(r"PushedFilters: \[.*In\(p_type", plan)
+    assert "ReadSchema: struct<p_partkey:bigint,p_type:string>" in plan
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    plan = plan_of(entry.queries()["left_join_on_predicate"](spark, SF))
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert re.search(r"PushedFilters: \[.*EqualTo\(l_returnflag,R\).*GreaterThan\(l_quantity,25.0\)", plan)
+
+
+def test_groups_are_limited_before_the_shuffle(spark):
+    for name in ("build_boxoffice", "entity_resolve", "top1_per_group"):
+        plan = plan_of(entry.queries()[name](spark, SF))
+        assert re.search(r"WindowGroupLimit \[.*Final", plan) and re.search(r"WindowGroupLimit \[.*Partial", plan)
+
+
+def test_gold_joins_share_one_partitioning(spark):
+    """Above the per-title inputs, the star adds no shuffle of its own."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        from pyspark.sql import functions as F
+
+        from marquetry.plans.gold import gold_star
+        from marquetry.checks.builds import build_title
+        from marquetry.checks.registry import table
+
+        crew = table(spark, SF, "lineitem").select(
+            F.concat(F.lit("tt"), "l_orderkey").alias("tconst"), F.lit("actor").alias("category"), F.col("l_returnflag").alias("name")
+        )
+        box = crew.groupBy("tconst").agg(F.lit(1).cast("bigint").alias("box_office"))
+        top = crew.groupBy("tconst").agg(
+            *[F.lit(None).cast("bigint").alias(c) for c in (
+                "top_250_movie_rnk", "top_250_tv_rnk", "top_indian_movie_rnk", "top_malayalam_movie_rnk",
+                "top_tamil_movie_rnk", "top_telugu_movie_rnk")],
+            F.lit("N").alias("is_top_1000_movie"), F.lit("N").alias("is_top_title"),
+        )
+        plan = plan_of(gold_star(build_title(spark, SF), crew, top, box))
+        joins = plan.count("SortMergeJoin")
+        # One shuffle each for basics, ratings, revenue, top; two for the counted lists.
+        assert joins == 4 and plan.count("Exchange hashpartitioning") == 6
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", True)
