@@ -40,17 +40,19 @@ def cond_list(
         .groupBy(*by, "_value", *flags)
         .agg(F.count(F.lit(1)).cast("int").alias("_copies"))
     )
+    text = F.col("_value")
+    if not distinct:
+        repeated = F.array_join(F.array_repeat("_value", F.col("_copies")), sep)
+        text = F.when(F.col("_copies") > 1, repeated).otherwise(text)
+    texts = counted.withColumn("_item", F.when(F.col("_value").isNotNull(), F.struct("_value", text.alias("_text"))))
 
     def joined(flag: str) -> Column:
-        kept = F.when(F.col(flag) & F.col("_value").isNotNull(), F.struct("_value", "_copies"))
-        values = F.array_sort(F.collect_list(kept))
-        if distinct:
-            flat = F.array_distinct(F.transform(values, lambda v: v["_value"]))
-        else:
-            flat = F.flatten(F.transform(values, lambda v: F.array_repeat(v["_value"], v["_copies"])))
-        return F.when(F.size(values) > 0, F.array_join(flat, sep))
+        items = F.sort_array(F.collect_list(F.when(F.col(flag), F.col("_item"))))["_text"]
+        # A value that meets several conditions in several ways comes more than once.
+        items = F.array_distinct(items) if distinct and len(flags) > 1 else items
+        return F.when(F.size(items) > 0, F.array_join(items, sep))
 
-    return counted.groupBy(*by).agg(*[joined(f).alias(n) for f, n in zip(flags, names)])
+    return texts.groupBy(*by).agg(*[joined(f).alias(n) for f, n in zip(flags, names)])
 
 
 def string_list(
@@ -62,4 +64,4 @@ def string_list(
 
 def sorted_set(value: Column) -> Column:
     """Distinct non-null values, sorted. For values of a small domain per group."""
-    return F.array_sort(F.collect_set(value))
+    return F.sort_array(F.collect_set(value))

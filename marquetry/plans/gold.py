@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.groups import cond_list
 from ..operators.rank import dist_row_number
+from ..sources.scratch import stage
 from .top_title import CHARTS
 
 # Title types kept, rank of a title that is on no list, list columns.
@@ -16,6 +17,8 @@ TITLE_TYPES = ["movie", "tvMiniSeries", "short", "tvSeries", "tvShort", "tvSpeci
 UNRANKED = 9999
 CREDIT_LISTS = {"director_lst": "director", "actor_lst": "actor", "actress_lst": "actress"}
 
+STRENGTH = ["box_office", "num_votes", "avg_rating"]
+
 COLUMNS = [
     "tconst", "title_type", "primary_title", "original_title", "release_year", "is_adult",
     "runtime_min", "genres", "avg_rating", "num_votes", "top_title_rnk", *CHARTS,
@@ -59,13 +62,8 @@ def build_gold(
     boxoffice: DataFrame,
     run_date: datetime.date | None = None,
 ) -> DataFrame:
-    """The star with its two overall ranks; ties are broken by title id."""
-    by_strength = [
-        F.col("box_office").desc_nulls_last(),
-        F.col("num_votes").desc_nulls_last(),
-        F.col("avg_rating").desc_nulls_last(),
-        F.col("tconst").asc(),
-    ]
+    """The star with its two overall ranks; ties are broken by the unique title id."""
+    by_strength = [*[F.col(c).desc_nulls_last() for c in STRENGTH], F.col("tconst").asc()]
     by_popularity = [
         F.col("popularity_rnk").asc_nulls_last(),
         F.col("language_popularity_rnk").asc_nulls_last(),
@@ -74,21 +72,30 @@ def build_gold(
         *by_strength,
     ]
     day = F.current_date() if run_date is None else F.lit(run_date)
-    star = gold_star(title, crew, top, boxoffice).withColumn("last_refresh_date", day)
-    # The list rank is a sort key of the first rank and replaced by the second.
-    ranked = dist_row_number(star, by_popularity, "overall_popularity_rnk").drop("top_title_rnk")
+    # Written once: the joins behind it would otherwise run again for every ranking
+    # pass. Ranking then moves the sort keys only, never the wide rows.
+    star = stage(gold_star(title, crew, top, boxoffice).withColumn("last_refresh_date", day), "star")
+    # This order still sees the list rank that the new top rank replaces below.
+    popularity_keys = [
+        "tconst", "popularity_rnk", "language_popularity_rnk", "top_title_rnk", "language_votes_rnk", *STRENGTH,
+    ]
+    popularity = dist_row_number(star.select(*popularity_keys), by_popularity, "overall_popularity_rnk")
 
     # Titles on a top list sort before all others, so only they need sorting, with
     # one exception: a chart rank beyond UNRANKED sorts after every other title.
     listed = F.col("is_top_title") == "Y"
-    others = ranked.filter(~listed)
     by_chart = [F.col(rank).asc() for rank in CHARTS]
-    top_ranked = dist_row_number(ranked.filter(listed), [*by_chart, *by_strength], "top_title_rnk")
+    chart_keys = star.filter(listed).select("tconst", *CHARTS, *STRENGTH)
+    charted = dist_row_number(chart_keys, [*by_chart, *by_strength], "_place")
     behind = F.struct(*CHARTS) > F.struct(*[F.lit(UNRANKED).cast("bigint").alias(r) for r in CHARTS])
-    skipped = others.agg(F.count(F.lit(1)).alias("n")).scalar()
-    top_ranked = top_ranked.withColumn(
-        "top_title_rnk", F.col("top_title_rnk") + F.when(behind, skipped).otherwise(F.lit(0))
+    skipped = star.filter(~listed).agg(F.count(F.lit(1)).alias("n")).scalar()
+    places = charted.select(
+        "tconst", (F.col("_place") + F.when(behind, skipped).otherwise(F.lit(0))).alias("_place")
+    )
+    unranked = F.lit(UNRANKED).cast("bigint")
+    return (
+        star.join(popularity.select("tconst", "overall_popularity_rnk"), "tconst")
+        .join(places, "tconst", "left")
+        .withColumn("top_title_rnk", F.coalesce("_place", unranked))
+        .select(*COLUMNS)
     )
-    return top_ranked.unionByName(
-        others.withColumn("top_title_rnk", F.lit(UNRANKED).cast("bigint"))
-    ).select(*COLUMNS)

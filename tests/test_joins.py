@@ -114,6 +114,15 @@ def test_list_without_values_is_null_and_group_stays(spark):
     }
 
 
+def test_distinct_list_per_condition(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "x", 3), ("a", "w", 1), ("a", "x", 1)], "k string, v string, n int")
+    tests = {"odd": F.col("n") % 2 == 1, "one": F.col("n") == 1}
+    got = cond_list(df, ["k"], F.col("v"), tests, ",", distinct=True).first()
+    assert (got["odd"], got["one"]) == ("w,x", "w,x")
+    got = cond_list(df, ["k"], F.col("v"), tests, ",").first()
+    assert (got["odd"], got["one"]) == ("w,x,x,x", "w,x,x")
+
+
 def test_resolution_of_a_hot_name_builds_no_pairs(spark):
     """3,000 name rows and 2,000 entities with one name: every pair would be 6 million rows."""
     names = spark.range(3000).select(F.lit("n").alias("name"), F.lit(1).alias("year"), F.col("id").alias("v"))
