@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.pages import extract_lookup, page_rejects, page_rows, read_pages
 from ..sources.delimited import load_all, run_together, table_name
 from ..sources.manifest import Sites
+from ..sources.scratch import release, staged_count
 from ..sources.tables import read_table, write_table
 from .boxoffice import build_boxoffice
 from .crew import build_crew, clustered
@@ -49,6 +50,7 @@ def refresh(
     def save(df: DataFrame, schema: str, table: str) -> DataFrame:
         return write_table(df, root, schema, table)
 
+    mark = staged_count(spark)
     dumps = {table_name(d): f"{raw.rstrip('/')}/{d}" for d in DUMPS}
     bronze = load_all(spark, dumps, root, parallelism=parallelism, partitions=partitions)
     lists = save(read_pages(list_pages, sites), "bronze", "t_list_page")
@@ -77,6 +79,7 @@ def refresh(
     )
     gold = build_gold(title, silver["t_crew"], silver["t_top_title"], silver["t_boxoffice"], run_date)
     save(gold, "gold", gold_table)
+    release(spark, mark)
     return {
         **bronze,
         **silver,

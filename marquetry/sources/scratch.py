@@ -45,7 +45,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete everything this application staged."""
-    for path in _staged.pop(spark.sparkContext.applicationId, []):
+def staged_count(spark: SparkSession) -> int:
+    return len(_staged.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete what this application staged after its first ``since`` tables.
+
+    Frames that still read a deleted table fail, so call it once results are written.
+    """
+    paths = _staged.get(spark.sparkContext.applicationId, [])
+    for path in paths[since:]:
         files.remove(spark, path)
+    del paths[since:]

@@ -19,6 +19,7 @@ TABLES = (
 
 def connect(sf: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
+    con.execute("SET max_temp_directory_size = '4GB'")
     for name in TABLES:
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf}/{name}.parquet')")
     return con

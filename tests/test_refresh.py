@@ -13,6 +13,7 @@ from marquetry.plans.gold import COLUMNS, build_gold
 from marquetry.plans.refresh import refresh
 from marquetry.plans.title import build_title
 from marquetry.sources.catalog import register_views
+from marquetry.sources.scratch import staged_count
 from test_pages import SITES, WIKI, node, pages, script, table
 
 N = "\\N"
@@ -96,7 +97,9 @@ def built(spark, tmp_path_factory):
     )
     root = str(tmp_path_factory.mktemp("lake"))
     day = datetime.date(2024, 5, 17)
+    before = staged_count(spark)
     tables = refresh(spark, root, str(raw), lists, revenue, pages(spark, ("w", WIKI)), SITES, day, partitions=2)
+    assert staged_count(spark) == before
     return root, tables
 
 

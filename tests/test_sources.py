@@ -110,8 +110,6 @@ def test_scratch_uses_the_session_folder(spark, tmp_path):
     assert staged.count() == 3
     path = scratch._staged[spark.sparkContext.applicationId][-1]
     assert path.startswith(root) and os.path.isdir(path)
-    kept = scratch._staged[spark.sparkContext.applicationId]
-    scratch._staged[spark.sparkContext.applicationId] = [path]
-    scratch.release(spark)
+    scratch.release(spark, scratch.staged_count(spark) - 1)
     assert not os.path.exists(path)
-    scratch._staged[spark.sparkContext.applicationId] = kept[:-1]
+    assert path not in scratch._staged[spark.sparkContext.applicationId]
