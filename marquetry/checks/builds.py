@@ -12,7 +12,8 @@ from ..plans import boxoffice, crew, gold, title, top_title
 from ..plans.gold import COLUMNS, TITLE_TYPES
 from ..plans.model import model_projection
 from ..plans.report import overview
-from ..sources.delimited import load_all, run_together
+from ..sources.concurrent_jobs import run_together
+from ..sources.delimited import load_all
 from ..sources.scratch import scratch_path, stage
 from .analogues import (
     BASICS,
@@ -189,18 +190,18 @@ def build_crew(spark: SparkSession, sf: str) -> DataFrame:
 @check(GOLD_SQL)
 def build_gold(spark: SparkSession, sf: str) -> DataFrame:
     # As in a refresh, gold reads silver tables that were written before.
-    titles = stage(build_title(spark, sf), "title")
-    gross = stage(frame(spark, sf, GROSS_ROWS), "gross")
     silver = run_together(
         spark,
         {
+            "title": lambda: stage(build_title(spark, sf), "title"),
+            "gross": lambda: stage(frame(spark, sf, GROSS_ROWS), "gross"),
             "crew": lambda: stage(build_crew(spark, sf), "crew"),
             "top": lambda: stage(build_top_title(spark, sf), "top_title"),
-            "boxoffice": lambda: stage(boxoffice.build_boxoffice(gross, titles), "boxoffice"),
         },
-        parallelism=3,
+        parallelism=4,
     )
-    built = gold.build_gold(titles, silver["crew"], silver["top"], silver["boxoffice"], RUN_DATE)
+    revenue = stage(boxoffice.build_boxoffice(silver["gross"], silver["title"]), "boxoffice")
+    built = gold.build_gold(silver["title"], silver["crew"], silver["top"], revenue, RUN_DATE)
     return built.withColumn("last_refresh_date", F.col("last_refresh_date").cast("string"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.groups import cond_list
 from ..operators.rank import dist_row_number
+from ..sources.concurrent_jobs import run_together
 from ..sources.scratch import stage
 from .top_title import CHARTS
 
@@ -79,14 +80,23 @@ def build_gold(
     popularity_keys = [
         "tconst", "popularity_rnk", "language_popularity_rnk", "top_title_rnk", "language_votes_rnk", *STRENGTH,
     ]
-    popularity = dist_row_number(star.select(*popularity_keys), by_popularity, "overall_popularity_rnk")
 
     # Titles on a top list sort before all others, so only they need sorting, with
     # one exception: a chart rank beyond UNRANKED sorts after every other title.
     listed = F.col("is_top_title") == "Y"
     by_chart = [F.col(rank).asc() for rank in CHARTS]
     chart_keys = star.filter(listed).select("tconst", *CHARTS, *STRENGTH)
-    charted = dist_row_number(chart_keys, [*by_chart, *by_strength], "_place")
+    ranks = run_together(
+        star.sparkSession,
+        {
+            "popularity": lambda: dist_row_number(
+                star.select(*popularity_keys), by_popularity, "overall_popularity_rnk"
+            ),
+            "charted": lambda: dist_row_number(chart_keys, [*by_chart, *by_strength], "_place"),
+        },
+        parallelism=2,
+    )
+    popularity, charted = ranks["popularity"], ranks["charted"]
     behind = F.struct(*CHARTS) > F.struct(*[F.lit(UNRANKED).cast("bigint").alias(r) for r in CHARTS])
     skipped = star.filter(~listed).agg(F.count(F.lit(1)).alias("n")).scalar()
     places = charted.select(

@@ -8,7 +8,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.pages import extract_lookup, page_rejects, page_rows, read_pages
-from ..sources.delimited import load_all, run_together, table_name
+from ..sources.concurrent_jobs import run_together
+from ..sources.delimited import load_all, table_name
 from ..sources.manifest import Sites
 from ..sources.scratch import release, staged_count
 from ..sources.tables import read_table, write_table
@@ -44,7 +45,8 @@ def refresh(
     """Rebuild every table under ``root``; later layers read what was written.
 
     Page tables are ``(url, html)``. What was read from pages is written before it
-    is used, since more than one later step needs it.
+    is used, since more than one later step needs it. Each dump is one compressed
+    file, so its rows are spread over ``partitions``, by default one per core.
     """
 
     def save(df: DataFrame, schema: str, table: str) -> DataFrame:
@@ -52,7 +54,8 @@ def refresh(
 
     mark = staged_count(spark)
     dumps = {table_name(d): f"{raw.rstrip('/')}/{d}" for d in DUMPS}
-    bronze = load_all(spark, dumps, root, parallelism=parallelism, partitions=partitions)
+    width = partitions or spark.sparkContext.defaultParallelism
+    bronze = load_all(spark, dumps, root, parallelism=parallelism, partitions=width)
     lists = save(read_pages(list_pages, sites), "bronze", "t_list_page")
     revenue = save(read_pages(revenue_pages, sites), "bronze", "t_revenue_page")
     lang = save(extract_lookup(language_pages), "bronze", "t_language")

@@ -3,17 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
-from typing import TypeVar
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .concurrent_jobs import run_together
 from .tables import write_table
 
-R = TypeVar("R")
-
 # The columns that get a type; every other column stays text.
 DUMP_TYPES = {
     "primaryTitle": "string",
@@ -80,15 +76,6 @@ def table_name(path: str) -> str:
     return "t_" + base.removesuffix(".gz").removesuffix(".tsv").replace(".", "_")
 
 
-def run_together(
-    spark: SparkSession, jobs: Mapping[str, Callable[[], R]], parallelism: int
-) -> dict[str, R]:
-    """Submit independent Spark jobs at once; the first failure is raised."""
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        waiting = {n: pool.submit(inheritable_thread_target(spark)(job)) for n, job in jobs.items()}
-        return {name: future.result() for name, future in waiting.items()}
-
-
 def load_all(
     spark: SparkSession,
     dumps: Mapping[str, str],
