@@ -26,7 +26,7 @@ def cond_list(
     Copies are counted before any group comes together: the first aggregation
     combines map-side on (group, value), so a group that owns a large share of
     the rows is spread by its values and only distinct values meet in the second.
-    A list without values is null.
+    That much any single result cell has to hold. A list without values is null.
     """
     names = list(conditions)
     marks = [F.coalesce(test, F.lit(False)).alias(f"_in{i}") for i, test in enumerate(conditions.values())]
@@ -42,8 +42,7 @@ def cond_list(
     )
     text = F.col("_value")
     if not distinct:
-        repeated = F.array_join(F.array_repeat("_value", F.col("_copies")), sep)
-        text = F.when(F.col("_copies") > 1, repeated).otherwise(text)
+        text = F.concat(F.repeat(F.concat(text, F.lit(sep)), F.col("_copies") - 1), text)
     texts = counted.withColumn("_item", F.when(F.col("_value").isNotNull(), F.struct("_value", text.alias("_text"))))
 
     def joined(flag: str) -> Column:

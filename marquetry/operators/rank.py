@@ -24,20 +24,24 @@ def top1_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column]) ->
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def dist_row_number(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+def dist_row_number(
+    df: DataFrame, order: Sequence[Column], out: str, n_parts: int | None = None
+) -> DataFrame:
     """``row_number() OVER (ORDER BY order)`` as a distributed job.
 
     Rows are range-partitioned and sorted by the whole key, staged once with
     their place in their partition, and shifted by the size of the partitions
     before theirs. End ``order`` with a unique column: it makes the numbering
     deterministic and lets the range split a value that dominates the first keys.
+    ``n_parts`` overrides the session's number of shuffle partitions.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    width = [n_parts] if n_parts else []
+    ranged = df.repartitionByRange(*width, *order).sortWithinPartitions(*order)
     placed = stage(ranged.withColumn("_place", F.monotonically_increasing_id()), "ranked")
 
     part = F.shiftright("_place", _PLACE_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    # At most one row per shuffle partition reaches this window and the broadcast.
+    # At most one row per range partition reaches this window and the broadcast.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")

@@ -47,6 +47,11 @@ def test_one_value_in_nearly_all_rows(spark, width):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_number_of_parts_is_a_parameter(spark):
+    ranked = dist_row_number(spark.range(5000), [F.col("id").desc()], "n", n_parts=3)
+    assert ranked.filter(F.col("n") != 5000 - F.col("id")).count() == 0
+
+
 def test_empty_input(spark):
     assert dist_row_number(spark.range(0), [F.col("id").asc()], "n").count() == 0
 

@@ -189,6 +189,19 @@ def test_gold(built):
     assert rows(gold, "last_refresh_date") == {(datetime.date(2024, 5, 17),)}
 
 
+@pytest.mark.parametrize("width", [1, 32])
+def test_gold_does_not_depend_on_the_partitioning(spark, built, width):
+    _, tables = built
+    silver = [tables[t].repartition(5) for t in ("t_title", "t_crew", "t_top_title", "t_boxoffice")]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", width)
+    try:
+        again = build_gold(*silver, datetime.date(2024, 5, 17))
+        assert rows(again, *COLUMNS) == rows(tables["t_catalogue"], *COLUMNS)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_rejects_and_views(built, spark):
     root, tables = built
     assert rows(tables["rejected_pages"], "url", "reason") == {
