@@ -11,6 +11,7 @@ from ..operators.resolve import resolve_entities
 from ..plans.gold import TITLE_TYPES
 from ..plans.gold import gold_star as star
 from ..plans.top_title import CHARTS
+from ..sources.scratch import stage
 from .analogues import BASICS, GROSS_ROWS, PRINCIPALS, RATINGS, frame, inline
 from .registry import check, table
 
@@ -148,9 +149,11 @@ def left_join_on_predicate(spark: SparkSession, sf: str) -> DataFrame:
         ORDER BY p_retailprice DESC NULLS LAST, v DESC NULLS LAST, p_partkey) AS rn FROM pairs) WHERE rn = 1""")
 def entity_resolve(spark: SparkSession, sf: str) -> DataFrame:
     part, lines = table(spark, sf, "part"), table(spark, sf, "lineitem")
-    sales = lines.join(part, lines.l_partkey == part.p_partkey).select(
+    sold = lines.join(part, lines.l_partkey == part.p_partkey).select(
         "p_partkey", "p_name", "p_size", "p_brand", "l_linestatus", F.floor("l_extendedprice").cast("bigint").alias("v")
     )
+    # Read three times below, so written once.
+    sales = stage(sold, "sales")
     return resolve_entities(
         sales.filter("p_brand < 'Brand#2'"),
         sales.filter("l_linestatus = 'F'"),
