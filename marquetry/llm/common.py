@@ -16,7 +16,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 #: White space as all word rules here have it; a word is a run of anything else.
 SPACE = " \t\n\x0b\x0c\r"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Characters of text that a Python task handles at a time; a longer text goes alone.
 CHUNK_CHARS = 2_000_000

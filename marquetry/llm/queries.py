@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lines, mixing, quality, tokens
-from .common import LOWER, UPPER, read_table  # noqa: F401
+from . import chat, decontaminate, lines, mixing, near_dups, pii, quality, tokens
+from .common import read_table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -58,6 +58,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_removed")
 
 
+@query()
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digests(read_table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.repetition_rules(read_table(spark, sf_dir, "documents"))
@@ -102,6 +107,24 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "row.source", "row.text", "copy", "order_key")
 
 
+@query()
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.benchmark_matches(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+    return found.select("doc_id", "item_id", "similarity", "start", "n_windows")
+
+
+@query()
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dups.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 @query(
     r"""
     WITH turns AS (
