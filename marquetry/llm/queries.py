@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, lines, mixing, near_dups, pii, quality, tokens
+from . import chat, decontaminate, language, lines, mixing, near_dups, pii, quality, tokens
 from .common import read_table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -58,6 +58,27 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_removed")
 
 
+@query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.identify_languages(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "language", "posterior", "text_language", "kept")
+
+
+@query()
+def llm_page_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language ID over web pages, with the language of the markup and real addresses."""
+    pages = read_table(spark, sf_dir, "pages").select(
+        "page_id",
+        "url",
+        F.regexp_extract("html", r"<html[^>]*\blang=[\"']?([A-Za-z-]+)", 1).alias("markup"),
+        F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ").alias("body"),
+    )
+    found = language.identify_languages(
+        pages, text="body", declared="markup", address="url", doc_id="page_id"
+    )
+    return found.select(F.col("doc_id").alias("page_id"), "language", "posterior", "text_language", "kept")
+
+
 @query()
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digests(read_table(spark, sf_dir, "documents"))
