@@ -30,9 +30,10 @@ def whole_row(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])
 
 
-def unpack(df: DataFrame, columns: list[str], struct: str = "_row") -> DataFrame:
-    """The columns that :func:`whole_row` packed, in their order."""
-    return df.select(*[F.col(struct).getField(c).alias(c) for c in columns])
+def unpack(df: DataFrame, columns: list[str], struct: str = "_row", more: list[str] | None = None) -> DataFrame:
+    """The columns that :func:`whole_row` packed, in their order, and ``more`` if their names are free."""
+    free = [c for c in more or [] if c.lower() not in {x.lower() for x in columns}]
+    return df.select(*[F.col(struct).getField(c).alias(c) for c in columns], *free)
 
 
 def row_key(*parts: Column) -> list[Column]:

@@ -110,3 +110,21 @@ def strip_boilerplate(
         F.when(F.col("_text").isNull(), 0).otherwise(with_word).cast("long").alias("n_lines"),
         F.coalesce(F.array_size("_removed"), F.lit(0)).cast("long").alias("n_removed"),
     )
+
+
+def cleaned_documents(docs: DataFrame, text: str = "text", length: str = "n_chars", **options) -> DataFrame:
+    """``docs`` with cleaned texts, and the code points of the text in ``length`` if there is such a column.
+
+    All rows stay, also those whose text is empty afterwards; other columns are unchanged.
+    """
+    cleaned = strip_boilerplate(docs, text=text, **options)
+    out = cleaned.withColumnRenamed("text", "_cleaned").drop("n_lines", "n_removed")
+    columns = []
+    for name in docs.columns:
+        column = F.col("row").getField(name)
+        if name == text:
+            column = F.col("_cleaned")
+        elif name == length:
+            column = F.length("_cleaned").cast(docs.schema[name].dataType)
+        columns.append(column.alias(name))
+    return out.select(*columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, lines, mixing, near_dups, pii, quality, tokens
+from . import chat, decontaminate, language, lines, lm, mixing, near_dups, pii, quality, tokens
 from .common import read_table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -128,6 +128,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "row.source", "row.text", "copy", "order_key")
 
 
+@query()
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(read_table(spark, sf_dir, "documents"))
+
+
 @query()
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.benchmark_matches(
