@@ -17,8 +17,8 @@ SHINGLE, SEED, RADIUS = 4, 42, 4
 #: First bit and width of the segments. Of three segments that differ by 4 bits
 #: together, one differs by 1 bit at most.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
-#: Members of a bucket that all its members are compared with in the first round.
-PIVOTS = 4
+#: Members of a band that all its members are compared with at first, and links kept of a member there.
+PIVOTS, LINKS = 12, 3
 
 
 def simhashes(texts: list[str]) -> list[np.ndarray]:
@@ -71,68 +71,92 @@ def distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def fingerprint_components(prints: DataFrame) -> DataFrame:
-    """``fp``, ``component``: the smallest doc_id among all fingerprints reachable from ``fp``.
+def bands(fingerprint: Column) -> Column:
+    """Keys of exact parts of a fingerprint: the segments and four parts of 16 bits."""
+    parts = [*SEGMENTS, *[(16 * i, 16) for i in range(4)]]
+    return F.array(
+        *[
+            F.shiftrightunsigned(fingerprint, first).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+            + F.lit(i << 22).cast("long")
+            for i, (first, width) in enumerate(parts)
+        ]
+    )
+
+
+def pivot_links(nodes: DataFrame) -> DataFrame:
+    """Links between fingerprints and a few pivots that share a band with them.
 
-    ``prints`` has doc_id and fp. Equal fingerprints are one node from the start. In a
-    bucket of equal keys every member is first compared with a few pivots only (the
-    fingerprint with the most documents, and some picked by hash), which joins a
-    group of near copies at a cost in proportion to its size. Then the members
-    outside the largest component of their bucket are compared with all members of
-    other components there, so no link is lost, but pairs inside a component are
-    never built.
+    The pivots of a band are the fingerprint with the most documents and some picked by
+    hash, so the cost is in proportion to the number of fingerprints. A large group of
+    near copies is nearly all joined up by this; no link is missed in the end, as the
+    variants find what is left.
     """
-    nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("copies")), "prints")
-    buckets = nodes.select("fp", "copies", F.explode(variants(F.col("fp"))).alias("key"))
+    rows = nodes.select("fp", "copies", F.explode(bands(F.col("fp"))).alias("band"))
     picks = [F.min_by("fp", F.xxhash64(F.lit(i), "fp")).alias(f"p{i}") for i in range(1, PIVOTS)]
-    pivots = (
-        buckets.groupBy("key")
-        .agg(F.max_by("fp", "copies").alias("p0"), *picks, F.count(F.lit(1)).alias("members"))
-        .filter("members > 1")
+    pivots = rows.groupBy("band").agg(F.max_by("fp", "copies").alias("p0"), *picks, F.count(F.lit(1)).alias("members"))
+    met = rows.join(pivots.filter("members > 1"), "band")
+    near = F.filter(
+        F.array(*[f"p{i}" for i in range(PIVOTS)]),
+        lambda p: (p != F.col("fp")) & (distance(p, F.col("fp")) <= RADIUS),
     )
-    near = [F.when((F.col(f"p{i}") != F.col("fp")) & (distance(F.col(f"p{i}"), F.col("fp")) <= RADIUS), F.col(f"p{i}")) for i in range(PIVOTS)]
-    crowded = stage(
-        buckets.join(pivots, "key").select("key", "fp", F.array_compact(F.array(*near)).alias("linked")),
-        "buckets",
-    )
-    links = crowded.filter(F.size("linked") > 0).select(F.col("fp").alias("a"), F.explode("linked").alias("b"))
-    roots = components(links.distinct())
-
-    members = stage(
-        crowded.join(roots.withColumnRenamed("a", "fp"), "fp", "left").select(
-            "key", "fp", F.coalesce("root", "fp").alias("root")
-        ),
-        "members",
+    linked = met.select("fp", F.slice(near, 1, LINKS).alias("linked")).filter(F.size("linked") > 0)
+    return linked.select(F.col("fp").alias("a"), F.explode("linked").alias("b"))
+
+
+def links_of_singles(singles: DataFrame, nodes: DataFrame) -> DataFrame:
+    """All links of fingerprints that no pivot was near to."""
+    asked = singles.select(F.col("fp").alias("a"), F.explode(variants(F.col("fp"))).alias("key"))
+    there = nodes.select(F.col("fp").alias("b"), F.explode(variants(F.col("fp"))).alias("key"))
+    close = (F.col("a") != F.col("b")) & (distance(F.col("a"), F.col("b")) <= RADIUS)
+    return asked.join(there, "key").filter(close).select("a", "b").distinct()
+
+
+def links_of_groups(grouped: DataFrame) -> DataFrame:
+    """Links between members of different groups, as pairs of roots; never inside a group.
+
+    Which groups meet in a bucket is found on one row per bucket and group.
+    """
+    members = grouped.select("fp", "root", F.explode(variants(F.col("fp"))).alias("key"))
+    meeting = members.select("key", "root").distinct()
+    pairs = meeting.join(meeting.withColumnRenamed("root", "other"), "key").filter("root < other")
+    left = pairs.join(members.withColumnRenamed("fp", "a"), ["key", "root"])
+    right = members.select("key", F.col("root").alias("other"), F.col("fp").alias("b"))
+    close = distance(F.col("a"), F.col("b")) <= RADIUS
+    found = left.join(right, ["key", "other"]).filter(close)
+    return found.select(F.col("root").alias("a"), F.col("other").alias("b")).distinct()
+
+
+def fingerprint_components(prints: DataFrame) -> DataFrame:
+    """``fp``, ``component``: the smallest doc_id among all fingerprints reachable from ``fp``.
+
+    ``prints`` has doc_id and fp. Equal fingerprints are one node from the start. Pivots
+    join up the bulk of each group of near copies; then the variants give all links
+    of the fingerprints that are left over, and all links between groups. Pairs
+    inside a group are never built, and no link between groups is lost.
+    """
+    nodes = stage(
+        prints.groupBy("fp").agg(F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("copies")), "prints"
     )
-    per_root = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (
-        per_root.groupBy("key")
-        .agg(F.max_by("root", "n").alias("main"), F.count(F.lit(1)).alias("roots"))
-        .filter("roots > 1")
-        .select("key", "main")
+    roots = components(pivot_links(nodes).distinct())
+    rooted = roots.select(F.col("a").alias("fp"), "root").unionByName(
+        roots.select(F.col("root").alias("fp"), "root").distinct()
     )
-    open_ = stage(members.join(mixed, "key"), "mixed")
-    few = open_.filter("root <> main").select("key", F.col("fp").alias("fp_a"), F.col("root").alias("root_a"))
-    crossing = (
-        open_.join(few, "key")
-        .filter(
-            (F.col("root") != F.col("root_a"))
-            & ((F.col("root") == F.col("main")) | (F.col("fp") < F.col("fp_a")))
-            & (distance(F.col("fp"), F.col("fp_a")) <= RADIUS)
-        )
-        .select(F.col("root").alias("a"), F.col("root_a").alias("b"))
-        .distinct()
+    rooted = stage(nodes.join(rooted, "fp", "left"), "rooted")
+    singles = rooted.filter("root IS NULL").select("fp")
+    grouped = rooted.filter("root IS NOT NULL").select("fp", "root")
+
+    single_links = links_of_singles(singles, nodes)
+    # Only the far end of such a link can be in a group.
+    towards = single_links.join(grouped.withColumnRenamed("fp", "b"), "b", "left").select(
+        "a", F.coalesce("root", "b").alias("b")
     )
-    merged = components(crossing)
+    merged = components(towards.unionByName(links_of_groups(grouped)).distinct())
 
-    rooted = nodes.join(roots.withColumnRenamed("a", "fp"), "fp", "left").select(
-        "fp", "doc", F.coalesce("root", "fp").alias("first_root")
-    )
-    rooted = rooted.join(merged.withColumnRenamed("a", "first_root"), "first_root", "left").select(
-        "fp", "doc", F.coalesce("root", "first_root").alias("root")
-    )
-    smallest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
-    return stage(rooted.join(smallest, "root").select("fp", "component"), "components")
+    first = rooted.select("fp", "doc", F.coalesce("root", "fp").alias("first"))
+    last = first.join(merged.select(F.col("a").alias("first"), F.col("root").alias("later")), "first", "left")
+    last = last.select("fp", "doc", F.coalesce("later", "first").alias("root"))
+    smallest = last.groupBy("root").agg(F.min("doc").alias("component"))
+    return stage(last.join(smallest, "root").select("fp", "component"), "components")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
