@@ -11,7 +11,7 @@ from ..operators.pages import extract_lookup, page_rejects, page_rows, read_page
 from ..sources.concurrent_jobs import run_together
 from ..sources.delimited import load_all, table_name
 from ..sources.manifest import Sites
-from ..sources.scratch import release, staged_count
+from ..sources.scratch import scratch
 from ..sources.tables import read_table, write_table
 from .boxoffice import build_boxoffice
 from .crew import build_crew, clustered
@@ -47,12 +47,33 @@ def refresh(
     Page tables are ``(url, html)``. What was read from pages is written before it
     is used, since more than one later step needs it. Each dump is one compressed
     file, so its rows are spread over ``partitions``, by default one per core.
+    Intermediate tables are this run's own and go with it, also if it fails.
     """
+    with scratch(spark):
+        return rebuild(
+            spark, root, raw, list_pages, revenue_pages, language_pages, sites,
+            run_date, gold_table, parallelism, partitions,
+        )
+
+
+def rebuild(
+    spark: SparkSession,
+    root: str,
+    raw: str,
+    list_pages: DataFrame,
+    revenue_pages: DataFrame,
+    language_pages: DataFrame,
+    sites: Sites,
+    run_date: datetime.date | None,
+    gold_table: str,
+    parallelism: int,
+    partitions: int | None,
+) -> Mapping[str, DataFrame]:
+    """The steps of :func:`refresh`; the caller owns what they stage."""
 
     def save(df: DataFrame, schema: str, table: str) -> DataFrame:
         return write_table(df, root, schema, table)
 
-    mark = staged_count(spark)
     dumps = {table_name(d): f"{raw.rstrip('/')}/{d}" for d in DUMPS}
     width = partitions or spark.sparkContext.defaultParallelism
     bronze = load_all(spark, dumps, root, parallelism=parallelism, partitions=width)
@@ -82,7 +103,6 @@ def refresh(
     )
     gold = build_gold(title, silver["t_crew"], silver["t_top_title"], silver["t_boxoffice"], run_date)
     save(gold, "gold", gold_table)
-    release(spark, mark)
     return {
         **bronze,
         **silver,

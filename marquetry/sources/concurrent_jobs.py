@@ -5,6 +5,7 @@ With ``spark.scheduler.mode=FAIR`` they share the executors evenly.
 
 from __future__ import annotations
 
+import contextvars
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
@@ -18,7 +19,13 @@ R = TypeVar("R")
 def run_together(
     spark: SparkSession, jobs: Mapping[str, Callable[[], R]], parallelism: int
 ) -> dict[str, R]:
-    """Submit independent Spark jobs at once; the first failure is raised."""
+    """Submit independent Spark jobs at once; the first failure is raised.
+
+    The jobs see the caller's context variables, so they stage into its scratch.
+    """
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        waiting = {n: pool.submit(inheritable_thread_target(spark)(job)) for n, job in jobs.items()}
+        waiting = {
+            n: pool.submit(contextvars.copy_context().run, inheritable_thread_target(spark)(job))
+            for n, job in jobs.items()
+        }
         return {name: future.result() for name, future in waiting.items()}

@@ -31,12 +31,16 @@ def write_table(
     fmt: str = "parquet",
     max_records_per_file: int | None = ROWS_PER_FILE,
     max_rows_per_group: int | None = ROWS_PER_GROUP,
+    row_group_bytes: int | None = None,
 ) -> DataFrame:
     """Replace rows and schema of a table and return the new table.
 
     Plain files go to a new folder that takes the place of the old one only
     after every task has succeeded, so a table can be rebuilt from itself and a
-    failed job leaves the old one untouched.
+    failed job leaves the old one untouched and nothing behind. A row group ends
+    at ``max_rows_per_group`` rows or at the format's own number of bytes (128 MB
+    unless ``row_group_bytes`` is given), of which each writing task holds as much
+    in memory.
     """
     spark = df.sparkSession
     target = table_path(root, schema, table)
@@ -45,6 +49,8 @@ def write_table(
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if max_rows_per_group:
         writer = writer.option("parquet.block.row.count.limit", max_rows_per_group)
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
 
     if fmt == "delta":  # the format replaces atomically by itself
         writer.option("overwriteSchema", "true").save(target)
@@ -53,15 +59,18 @@ def write_table(
     run = uuid.uuid4().hex
     fresh = table_path(root, "_incoming", f"{schema}.{table}-{run}")
     old = table_path(root, "_outgoing", f"{schema}.{table}-{run}")
-    writer.save(fresh)
-    replaces = files.exists(spark, target)
-    if replaces:
-        files.move(spark, target, old)
+    moved = False
     try:
+        writer.save(fresh)
+        replaces = files.exists(spark, target)
+        if replaces:
+            files.move(spark, target, old)
+            moved = True
         files.move(spark, fresh, target)
     except Exception:
-        if replaces:
+        if moved:
             files.move(spark, old, target)
+        files.remove(spark, fresh)
         raise
     if replaces:
         files.remove(spark, old)

@@ -108,8 +108,8 @@ def test_scratch_uses_the_session_folder(spark, tmp_path):
     assert root == spark.conf.get("spark.checkpoint.dir", root).rstrip("/")
     staged = scratch.stage(spark.range(3), "few")
     assert staged.count() == 3
-    path = scratch._staged[spark.sparkContext.applicationId][-1]
-    assert path.startswith(root) and os.path.isdir(path)
-    scratch.release(spark, scratch.staged_count(spark) - 1)
-    assert not os.path.exists(path)
-    assert path not in scratch._staged[spark.sparkContext.applicationId]
+    path = staged.inputFiles()[0]
+    folder = os.path.dirname(path.removeprefix("file:").replace("//", ""))
+    assert folder.startswith(root.removeprefix("file:")) and os.path.isdir(folder)
+    scratch.release(spark)
+    assert not os.path.exists(folder)
