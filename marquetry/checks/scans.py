@@ -95,15 +95,22 @@ def _lake(spark: SparkSession, sf: str) -> str:
 @check("""
     SELECT 'bronze' AS sch, 't_part' AS tbl, count(*) AS n_rows FROM part
     UNION ALL SELECT 'silver', 't_orders', count(*) FROM orders
-    UNION ALL SELECT 'gold', 't_customer', count(*) FROM customer""")
+    UNION ALL SELECT 'gold', 't_customer', count(*) FROM customer
+    UNION ALL SELECT 'other_silver', 't_orders', count(*) FROM orders WHERE o_orderstatus = 'F'""")
 def registered_views(spark: SparkSession, sf: str) -> DataFrame:
-    root = _lake(spark, sf)
+    root, other = _lake(spark, sf), scratch_path(spark, "lake")
+    # A second root with other rows under the same names; one of its tables is asked for.
+    finished = table(spark, sf, "orders").filter("o_orderstatus = 'F'")
+    for schema, name in (("silver", "t_orders"), ("silver", "t_more"), ("gold", "t_orders")):
+        write_table(finished, other, schema, name)
     views = register_views(spark, root)
+    more = register_views(spark, other, schema="silver", table="t_orders", prefix="other_")
+    views = views.union(more.withColumn("schema", F.concat(F.lit("other_"), "schema")))
     counts = [
         spark.table(f"{s}.t_{t}")
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .select(F.lit(s).alias("schema"), F.lit(f"t_{t}").alias("table"), "n_rows")
-        for s, t in (("bronze", "part"), ("silver", "orders"), ("gold", "customer"))
+        for s, t in (("bronze", "part"), ("silver", "orders"), ("gold", "customer"), ("other_silver", "orders"))
     ]
     return views.join(reduce(DataFrame.union, counts), ["schema", "table"]).select(
         F.col("schema").alias("sch"), F.col("table").alias("tbl"), "n_rows"

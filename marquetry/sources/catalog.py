@@ -14,20 +14,28 @@ def register_views(
     schema: str | None = None,
     table: str | None = None,
     fmt: str = "parquet",
+    prefix: str = "",
 ) -> DataFrame:
     """(Re)create one view per table folder; returns the (schema, table) pairs.
 
     Views only point at folders, so replacing one never touches data. Run it
-    again after a table changed its schema.
+    again after a table changed its schema. ``prefix`` stands before the names of
+    the databases, so several roots can be registered side by side. Views of the
+    asked schemas and tables whose folder is gone are dropped.
     """
     found = []
     for path in files.folders(spark, table_path(root, schema or "*", table or "*")):
         sch, tbl = path.rstrip("/").split("/")[-2:]
         if sch.startswith("_"):
             continue
-        spark.sql(
-            f"CREATE DATABASE IF NOT EXISTS `{sch}` LOCATION '{root.rstrip('/')}/Tables/{sch}'"
-        )
-        spark.sql(f"CREATE OR REPLACE VIEW `{sch}`.`{tbl}` AS SELECT * FROM {fmt}.`{path}`")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{sch}`")
+        spark.sql(f"CREATE OR REPLACE VIEW `{prefix}{sch}`.`{tbl}` AS SELECT * FROM {fmt}.`{path}`")
         found.append((sch, tbl))
+    asked = [schema] if schema else sorted({s for s, _ in found})
+    for sch in asked:
+        if spark.catalog.databaseExists(f"{prefix}{sch}"):
+            for view in spark.catalog.listTables(f"{prefix}{sch}"):
+                wanted = table is None or view.name.lower() == table.lower()
+                if view.tableType == "VIEW" and wanted and (sch, view.name) not in found:
+                    spark.sql(f"DROP VIEW `{prefix}{sch}`.`{view.name}`")
     return spark.createDataFrame(sorted(found), "schema string, table string")

@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import datetime
 import gzip
+import shutil
+import time
+from pathlib import Path
+from threading import Barrier
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +18,9 @@ from marquetry.plans.gold import COLUMNS, build_gold
 from marquetry.plans.refresh import refresh
 from marquetry.plans.title import build_title
 from marquetry.sources.catalog import register_views
-from marquetry.sources.scratch import staged_count
+from marquetry.sources.concurrent_jobs import run_together
+from marquetry.sources.scratch import release, scratch, scratch_path, scratch_root, stage
+from marquetry.sources.tables import write_table
 from test_pages import SITES, WIKI, node, pages, script, table
 
 N = "\\N"
@@ -57,6 +64,12 @@ DUMPS = {
 SEARCH = SITES.search
 
 
+def staged(spark):
+    """What lies in the shared folder."""
+    folder = Path(scratch_root(spark).removeprefix("file:"))
+    return sorted(p.name for p in folder.iterdir()) if folder.exists() else []
+
+
 def hits(*keys):
     items = [{"titleId": k, "titleText": k, "releaseYear": 2000} for k in keys]
     return script({"searchResults": {"titleResults": {"titleListItems": items}}})
@@ -97,9 +110,9 @@ def built(spark, tmp_path_factory):
     )
     root = str(tmp_path_factory.mktemp("lake"))
     day = datetime.date(2024, 5, 17)
-    before = staged_count(spark)
+    before = staged(spark)
     tables = refresh(spark, root, str(raw), lists, revenue, pages(spark, ("w", WIKI)), SITES, day, partitions=2)
-    assert staged_count(spark) == before
+    assert staged(spark) == before
     return root, tables
 
 
@@ -244,3 +257,76 @@ def test_equal_titles_rank_by_id(spark):
     box = spark.createDataFrame([], "tconst string, box_office bigint")
     gold = build_gold(build_title(basics, none), crew, top, box)
     assert rows(gold, "tconst", "overall_popularity_rnk", "top_title_rnk") == {("tt1", 1, 9999), ("tt2", 2, 9999), ("tt3", 3, 9999)}
+
+
+def test_runs_own_what_they_stage(spark):
+    """Two overlapping runs: the end of one leaves the tables of the other."""
+    start, middle = Barrier(2), Barrier(2)
+
+    def run(first):
+        with scratch(spark):
+            start.wait(60)
+            own = stage(spark.range(5), "own")
+            middle.wait(60)
+            if first:
+                return own.count()
+        return None
+
+    def last():
+        with scratch(spark):
+            start.wait(60)
+            own = run_together(spark, {"x": lambda: stage(spark.range(7), "own")}, 1)["x"]
+            middle.wait(60)
+            for _ in range(200):  # until the other run is over
+                if len([n for n in staged(spark) if n.startswith("own-")]) == 1:
+                    break
+                time.sleep(0.05)
+            return own.count()
+
+    before = staged(spark)
+    got = run_together(spark, {"a": lambda: run(True), "b": last}, 2)
+    assert got == {"a": 5, "b": 7} and staged(spark) == before
+
+
+def test_a_failed_refresh_leaves_no_folder(spark, built, tmp_path):
+    before = staged(spark)
+    missing = pages(spark, ("x", "y"))
+    with pytest.raises(Exception):  # noqa: B017
+        refresh(spark, str(tmp_path / "lake"), str(tmp_path / "none"), missing, missing, missing, SITES)
+    assert staged(spark) == before
+
+
+def test_a_failed_write_leaves_no_folder(spark, tmp_path):
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("string").alias("x"))
+    with pytest.raises(Exception):  # noqa: B017
+        write_table(broken, str(tmp_path), "silver", "t")
+    assert not list((tmp_path / "Tables" / "_incoming").glob("*"))
+
+
+def test_release_is_for_what_no_run_owns(spark):
+    path = scratch_path(spark, "loose")
+    spark.range(1).write.parquet(path)
+    release(spark)
+    assert not Path(path.removeprefix("file:")).exists()
+
+
+def test_row_groups(spark, tmp_path):
+    rows = spark.range(0, 100_000, 1, 1).withColumn("x", F.col("id") * 7)
+    write_table(rows, str(tmp_path), "silver", "t", max_rows_per_group=30_000)
+    files = list((tmp_path / "Tables" / "silver" / "t").glob("*.parquet"))
+    meta = [pq.ParquetFile(f).metadata for f in files]
+    groups = [m.row_group(i).num_rows for m in meta for i in range(m.num_row_groups)]
+    assert sum(groups) == 100_000 and max(groups) <= 30_000
+    write_table(rows, str(tmp_path), "silver", "u", row_group_bytes=100_000)
+    files = list((tmp_path / "Tables" / "silver" / "u").glob("*.parquet"))
+    assert sum(pq.ParquetFile(f).metadata.num_row_groups for f in files) > 1
+
+
+def test_views_per_root(spark, tmp_path):
+    for root, n in (("one", 3), ("two", 5)):
+        write_table(spark.range(n), str(tmp_path / root), "silver", "t_views")
+        register_views(spark, str(tmp_path / root), schema="silver", prefix=f"{root}_")
+    assert spark.table("one_silver.t_views").count() == 3 and spark.table("two_silver.t_views").count() == 5
+    shutil.rmtree(tmp_path / "one" / "Tables" / "silver" / "t_views")
+    register_views(spark, str(tmp_path / "one"), schema="silver", prefix="one_")
+    assert not spark.catalog.tableExists("one_silver.t_views")
