@@ -44,8 +44,14 @@ def list_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(year.alias("year")).alias("releaseYear"),
     )
     flat = F.struct(key.alias("titleId"), F.col("p_name").alias("titleText"), year.alias("releaseYear"))
+    # An empty node stands for none, and a year of 0 leaves it to the year beside.
+    empty = F.struct(F.lit(None).cast("string").alias("id"))
+    yearless = node.withField("releaseYear", F.struct(F.lit(0).alias("year")))
+    beside = F.struct(rank.alias("currentRank"), yearless.alias("node"), year.alias("releaseYear"))
     item = (
-        F.when(page % 3 == 0, F.to_json(F.struct(rank.alias("currentRank"), node.alias("node"))))
+        F.when((page % 3 == 0) & (F.col("p_size") % 7 == 3), F.to_json(beside))
+        .when(page % 3 == 0, F.to_json(F.struct(rank.alias("currentRank"), node.alias("node"))))
+        .when((page % 3 == 1) & (F.col("p_size") % 5 == 3), F.to_json(F.struct(empty.alias("node"), node.alias("item"))))
         .when(page % 3 == 1, F.to_json(F.struct(node.alias("item"))))
         .otherwise(F.to_json(flat))
     )
@@ -98,14 +104,17 @@ def extract_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def revenue_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Parts as yearly and chart revenue tables, by page number."""
     yearly = F.floor(F.col("p_partkey") / PAGE_ROWS) % 2 == 0
-    name = F.replace(F.concat("p_name", F.lit(" & co")), F.lit("&"), F.lit("&amp;"))
+    name = F.concat("p_name", F.lit(" &amp; co&eacute; &ndash; &#x41;&lt;"))
     gross = F.concat(F.lit("$"), F.format_number(F.col("p_partkey") * 1234567, 0))
     place = F.format_number(F.col("p_partkey") + 1, 0)
     link = F.concat(F.lit('<a class="x" href="/title/tt'), "p_partkey", F.lit('/?ref=1">'), name, F.lit("</a>"))
 
     def cells(*parts: Column) -> Column:
-        opened = [F.concat(F.lit('<td class="c">'), part, F.lit("</td>")) for part in parts]
-        return F.concat(F.lit("<tr>"), *opened, F.lit("</tr>"))
+        # Every third row leaves its end tags out.
+        closed = F.when(F.col("p_partkey") % 3 != 0, F.lit("</td>")).otherwise(F.lit(""))
+        opened = [F.concat(F.lit('<td class="c">'), part, closed) for part in parts]
+        end = F.when(F.col("p_partkey") % 3 != 0, F.lit("</tr>")).otherwise(F.lit(""))
+        return F.concat(F.lit("<tr>"), *opened, end)
 
     filler = F.lit("<span>-</span>")
     row = F.when(yearly, cells(place, name, gross, filler)).otherwise(
@@ -115,7 +124,8 @@ def revenue_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.col("page") % 2 == 0, F.concat(F.lit(SITES.revenue_year), (1977 + F.col("page") % 40).cast("string"))
     ).otherwise(F.concat(F.lit(SITES.revenue_chart), "page"))
     html = F.concat(
-        F.lit("<html><table><tr><th>Rank</th><th>Name</th><th>Gross</th></tr>"),
+        F.lit("<html><!-- <table><tr><td>1</td><td>old</td><td>$1</td></tr></table> -->"),
+        F.lit("<table><tr><th>Rank</th><th>Name</th><th>Gross</th></tr>"),
         "body",
         F.lit("</table><table><tr><td>other</td></tr></table></html>"),
     )
@@ -128,7 +138,7 @@ def revenue_pages(spark: SparkSession, sf: str) -> DataFrame:
     SELECT CASE page % 2 WHEN 0 THEN 'NA' ELSE 'tt' || p_partkey END AS tconst,
            CASE page % 2 WHEN 0 THEN -1 ELSE p_partkey + 1 END AS rnk,
            CASE page % 2 WHEN 0 THEN 'NA' ELSE 'ww_top_lifetime_gross' END AS type,
-           p_name || ' & co' AS movie_name,
+           p_name || ' & coé – A<' AS movie_name,
            CAST(CASE page % 2 WHEN 0 THEN 1977 + page % 40 ELSE 1900 + p_size END AS BIGINT) AS movie_year,
            p_partkey * 1234567 AS box_office
     FROM p""")
@@ -159,13 +169,15 @@ def extract_lookup_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     SELECT DISTINCT CASE page % 3 WHEN 0 THEN 'chart/top' || page || '/'
                     WHEN 1 THEN 'india/top-rated-' || page || '-movies/'
                     ELSE 'search/title/?release_date=,9999-12-31&moviemeter=' || page END AS address,
-           CASE page % 10 WHEN 3 THEN 'no embedded data' ELSE 'embedded data is not readable' END AS reason
-    FROM (SELECT p_partkey // 50 AS page FROM part) WHERE page % 10 IN (3, 7)
+           CASE page % 10 WHEN 3 THEN 'no embedded data' WHEN 7 THEN 'embedded data is not readable'
+                ELSE 'no list found' END AS reason
+    FROM (SELECT p_partkey // 50 AS page FROM part) WHERE page % 10 IN (3, 5, 7)
     UNION ALL SELECT url, 'no embedded data' FROM pages""")
 def extract_rejects(spark: SparkSession, sf: str) -> DataFrame:
     html = (
         F.when(F.col("page") % 10 == 3, F.replace("html", F.lit("__NEXT_DATA__"), F.lit("OTHER")))
         .when(F.col("page") % 10 == 7, F.replace("html", F.lit("}}</script>"), F.lit(";</script>")))
+        .when(F.col("page") % 10 == 5, F.regexp_replace("html", '"(edges|items|titleListItems)":', '"new":'))
         .otherwise(F.col("html"))
     )
     built = list_pages(spark, sf).select("url", html.alias("html"))

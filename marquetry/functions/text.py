@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,8 +46,9 @@ def source_type(url: Column, search: str) -> Column:
     return F.when(F.contains(url, F.lit(search)), path_part(url, -1)).otherwise(path_part(url, -2))
 
 
-# The named references that pages in practice use.
-NAMED_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0"}
+# Named references as ``name\x02characters``, those that end with a semicolon.
+_PAIR, _IS = "\x01", "\x02"
+NAMED_REFERENCES = _PAIR.join(f"{n[:-1]}{_IS}{c}" for n, c in sorted(html5.items()) if n.endswith(";"))
 
 
 def _character(code: Column) -> Column:
@@ -54,29 +56,35 @@ def _character(code: Column) -> Column:
 
 
 def _reference(part: Column) -> Column:
-    """Text after ``&#`` with the reference it starts with, if valid, resolved."""
-    hexa = non_empty(F.regexp_extract(part, "^[xX]([0-9a-fA-F]{1,6});", 1))
-    deci = non_empty(F.regexp_extract(part, "^([0-9]{1,7});", 1))
+    """Text after ``&`` with the reference it starts with, if valid, resolved."""
+    hexa = non_empty(F.regexp_extract(part, "^#[xX]([0-9a-fA-F]{1,6});", 1))
+    deci = non_empty(F.regexp_extract(part, "^#([0-9]{1,7});", 1))
+    name = non_empty(F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*);", 1))
     rest = F.regexp_replace(part, "^[^;]*;", "")
+    known = F.str_to_map(F.lit(NAMED_REFERENCES), F.lit(_PAIR), F.lit(_IS))
 
-    def resolved(code: Column) -> Column:
+    def numbered(code: Column) -> Column:
         valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        return F.when(valid, F.concat(_character(code), rest)).otherwise(F.concat(F.lit("&#"), part))
+        return F.when(valid, _character(code))
 
-    return bind(F.coalesce(F.conv(hexa, 16, 10), deci).try_cast("bigint"), resolved)
+    number = bind(F.coalesce(F.conv(hexa, 16, 10), deci).try_cast("bigint"), numbered)
+    named = F.when(name.isNotNull(), F.element_at(known, name))
+    return F.coalesce(F.concat(F.coalesce(number, named), rest), F.concat(F.lit("&"), part))
 
 
-def _numeric_references(text: Column) -> Column:
-    pieces = F.transform(F.split(text, "&#"), lambda p, i: F.when(i > 0, _reference(p)).otherwise(p))
-    return F.when(F.contains(text, F.lit("&#")), F.array_join(pieces, "")).otherwise(text)
+def _resolved(text: Column) -> Column:
+    pieces = F.transform(F.split(text, "&"), lambda p, i: F.when(i > 0, _reference(p)).otherwise(p))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(pieces, "")).otherwise(text)
+
+
+def uncommented(html: Column) -> Column:
+    """Markup without comments; one that is never closed reaches to the end."""
+    return F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
 
 
 def markup_text(html: Column) -> Column:
-    """Text of a markup fragment: tags removed, character references resolved."""
-    text = bind(F.regexp_replace(html, "<[^>]*>", ""), _numeric_references)
-    for name, char in NAMED_REFERENCES.items():
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+    """Text of a markup fragment: tags removed, all character references resolved once."""
+    return bind(F.regexp_replace(html, "<[^>]*>", ""), _resolved)
 
 
 def element(html: Column, tag: str) -> Column:
@@ -89,6 +97,20 @@ def elements(html: Column, tag: str) -> Column:
     return F.regexp_extract_all(html, F.lit(rf"(?is)<(?:{tag})\b[^>]*>(.*?)</(?:{tag})\s*>"), F.lit(1))
 
 
+def table_rows(table: Column) -> Column:
+    """Inner markup of the rows of a table; a row may end without an end tag."""
+    return F.regexp_extract_all(
+        table, F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=</?(?:tr|tbody|thead|tfoot|table)\b|\z)"), F.lit(1)
+    )
+
+
+def row_cells(row: Column, tag: str) -> Column:
+    """Inner markup of the ``tag`` cells of a row; a cell may end without an end tag."""
+    return F.regexp_extract_all(
+        row, F.lit(rf"(?is)<(?:{tag})\b[^>]*>(.*?)(?=<(?:td|th)\b|</(?:td|th|tr|table)\b|\z)"), F.lit(1)
+    )
+
+
 def currency_label(amount: Column) -> Column:
     """``$2.1B``, ``$15M``, ``$3K`` or ``$#,0``; null stays null."""
     billions = F.round(amount.cast("decimal(38,0)") / F.lit(10**9).cast("decimal(12,0)"), 1)

@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 from ..functions.text import (
     bind,
     element,
-    elements,
     markup_text,
     money,
     non_empty,
     path_part,
+    row_cells,
     source_type,
+    table_rows,
     title_id,
+    uncommented,
 )
 from ..sources.manifest import Sites
 
@@ -64,7 +66,14 @@ def _list_read(url: Column, html: Column, sites: Sites) -> Column:
             node, item = x["node"], x["item"]
             for step in path:
                 node, item = node[step], item[step]
-            return non_empty(F.when(x["node"].isNotNull(), node).otherwise(item))
+            return non_empty(F.when(filled(x["node"]), node).otherwise(item))
+
+        def filled(node: Column) -> Column:
+            """An empty object counts as none."""
+            return node["id"].isNotNull() | node["titleText"].isNotNull() | node["releaseYear"].isNotNull()
+
+        def year(text: Column) -> Column:
+            return F.nullif(text.try_cast("bigint"), F.lit(0).cast("bigint"))
 
         rank = F.nullif(x["currentRank"].try_cast("bigint"), F.lit(0).cast("bigint"))
         return F.struct(
@@ -72,23 +81,27 @@ def _list_read(url: Column, html: Column, sites: Sites) -> Column:
             F.coalesce(rank, (i + 1).cast("bigint")).alias("rnk"),
             kind.alias("type"),
             F.coalesce(own("titleText", "text"), x["titleText"]).alias("movie_name"),
-            F.coalesce(own("releaseYear", "year"), x["releaseYear"]).try_cast("bigint").alias("movie_year"),
+            F.coalesce(year(own("releaseYear", "year")), year(x["releaseYear"])).alias("movie_year"),
             F.lit(NO_NUMBER).cast("bigint").alias("box_office"),
         )
 
-    def first_filled(data: Column) -> Column:
+    def lists_of(data: Column) -> list[Column]:
         lists = []
         for path in _LISTS:
             found = data["props"]["pageProps"]
             for step in path:
                 found = found[step]
-            lists.append(F.when(F.size(found) > 0, found))
-        return F.coalesce(*lists)
+            lists.append(found)
+        return lists
 
     def of_data(data: Column) -> Column:
+        lists = lists_of(data)
+        filled = F.coalesce(*[F.when(F.size(x) > 0, x) for x in lists])
         return F.struct(
-            F.transform(first_filled(data), row).cast(ROWS).alias("rows"),
-            F.when(data["_bad"].isNotNull(), "embedded data is not readable").alias("reason"),
+            F.transform(filled, row).cast(ROWS).alias("rows"),
+            F.when(data["_bad"].isNotNull(), "embedded data is not readable")
+            .when(F.coalesce(*lists).isNull(), "no list found")
+            .alias("reason"),
         )
 
     def of_script(script: Column) -> Column:
@@ -133,12 +146,12 @@ def _table_read(url: Column, html: Column, sites: Sites) -> Column:
 
     def of_table(table: Column) -> Column:
         cells = F.filter(
-            F.transform(elements(table, "tr"), lambda r: elements(r, "td")), lambda c: F.size(c) > 0
+            F.transform(table_rows(table), lambda r: row_cells(r, "td")), lambda c: F.size(c) > 0
         )
         read = bind(F.transform(cells, row), of_rows)
         return F.when(table != "", read).otherwise(_no_rows("no table"))
 
-    return bind(element(html, "table"), of_table)
+    return bind(element(uncommented(html), "table"), of_table)
 
 
 def _no_rows(reason: str) -> Column:
@@ -211,10 +224,10 @@ def extract_lookup(
     the columns fails the job, or gives no rows if not ``strict``.
     """
     table = F.regexp_extract(
-        "html", r"""(?is)<table\b[^>]*\bclass\s*=\s*["'][^"'>]*\bwikitable\b[^>]*>(.*?)</table\s*>""", 1
+        uncommented(F.col("html")), r"""(?is)<table\b[^>]*\bclass\s*=\s*["'][^"'>]*\bwikitable\b[^>]*>(.*?)</table\s*>""", 1
     )
     texts = F.transform(
-        elements(table, "tr"), lambda r: F.transform(elements(r, "td|th"), _stripped)
+        table_rows(table), lambda r: F.transform(row_cells(r, "td|th"), _stripped)
     )
 
     def place(heads: Column, part: str) -> Column:

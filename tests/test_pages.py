@@ -49,7 +49,7 @@ def test_chart_layout_and_fallbacks(spark):
     ]
     assert read(spark, (TOP, script({"pageData": {"chartTitles": {"edges": edges}}}))) == [
         ("tt3", 3, "top", "Three", 2003, -1),
-        ("tt2", 2, "top", "Two", 0, -1),
+        ("tt2", 2, "top", "Two", 2002, -1),
         ("NA", 3, "top", "No id", None, -1),
     ]
 
@@ -118,6 +118,7 @@ def test_bad_pages_give_no_rows_and_are_reported(spark):
         TOP: "no embedded data",
         TOP + "2/": "no embedded data",
         TOP + "3/": "embedded data is not readable",
+        TOP + "4/": "no list found",
     }
     assert {r.url: r.reason for r in rejects(found, SITES).collect()} == reasons
 
@@ -182,3 +183,20 @@ def test_manifest(spark):
         "https://revenue.example/year/world/2024",
         "https://revenue.example/chart/ww_top_lifetime_gross/?area=XWW&offset=9800",
     } <= set(urls)
+
+
+def test_open_cells_comments_and_named_references(spark):
+    rows = "<tr><td>1<td>Am&eacute;lie &ndash; &amp;lt; x &unknown;<td>$5<tr><td>2</td><td>B</td><td>$6"
+    html = f"<!-- <table><tr><td>0</td><td>old</td><td>$1</td></tr></table> --><table>{rows}</table>"
+    assert read(spark, (YEAR, html)) == [
+        ("NA", -1, "NA", "Amélie – &lt; x &unknown;", 1999, 5),
+        ("NA", -1, "NA", "B", 1999, 6),
+    ]
+
+
+def test_an_empty_node_counts_as_none(spark):
+    edges = [{"node": {}, "item": node("tt9", "Nine", 2009)}, {"item": node("tt8", "Eight", 0), "releaseYear": 2008}]
+    assert read(spark, (TOP, script({"pageData": {"chartTitles": {"edges": edges}}}))) == [
+        ("tt9", 1, "top", "Nine", 2009, -1),
+        ("tt8", 2, "top", "Eight", 2008, -1),
+    ]
