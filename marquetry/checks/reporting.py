@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.gold import COLUMNS
 from ..plans.model import DISPLAY_NAMES, default_summary as summed, measures, model_projection
-from ..plans.report import CARD_MEASURES, filter_context as context, slicer_values as offered, summarize
+from ..plans.report import CARD_MEASURES, TEXT_SLICERS, VALUE_SLICERS, overview, summarize
+from ..plans.report import filter_context as context, slicer_values as offered
 from .analogues import MODEL, frame, inline
 from .registry import check, table
 
@@ -148,3 +151,49 @@ def card_summary(spark: SparkSession, sf: str) -> DataFrame:
         F.col("Avg Rating").alias("avg_rating"),
         F.col("Data as of").cast("string").alias("data_as_of"),
     )
+
+
+_SLICERS = [*VALUE_SLICERS, *TEXT_SLICERS]
+_CHOSEN = {"Release Year": [1995, 1996]}
+_TYPED = {"Directors": "7"}
+# The slicers that the model of orders lacks are made from its other columns.
+_MORE = {
+    "Primary Title": "o_orderkey % 50", "Generes": "o_orderpriority", "Actors": "o_orderstatus",
+    "Actresses": "CASE WHEN o_custkey % 3 = 0 THEN o_orderstatus END", "Languages": "o_custkey % 10",
+}
+_PAGE = (
+    "SELECT CAST(year(o_orderdate) AS BIGINT) AS \"Release Year\", 'Clerk ' || CAST(o_custkey AS VARCHAR) AS \"Directors\", "
+    + ", ".join(f"CAST({sql} AS VARCHAR) AS \"{name}\"" for name, sql in _MORE.items())
+    + " FROM orders"
+)
+
+
+def _others(own: str) -> str:
+    years = "1 = 1" if own == "Release Year" else '"Release Year" IN (1995, 1996)'
+    return years + ("" if own == "Directors" else " AND contains(\"Directors\", '7')")
+
+
+@check(
+    f"WITH page AS ({_PAGE}) "
+    + " UNION ALL ".join(
+        f"SELECT DISTINCT '{c}' AS slicer, CAST(\"{c}\" AS VARCHAR) AS offered FROM page WHERE {_others(c)}" for c in _SLICERS
+    )
+)
+def overview_slicers(spark: SparkSession, sf: str) -> DataFrame:
+    """What the seven slicers offer while one of them is set and another one typed into."""
+    orders = table(spark, sf, "orders").select(
+        F.year("o_orderdate").cast("bigint").alias("Release Year"),
+        F.concat(F.lit("Clerk "), F.col("o_custkey").cast("string")).alias("Directors"),
+        *[F.expr(sql).cast("string").alias(name) for name, sql in _MORE.items()],
+        *[F.lit(1).alias(c) for c in ("avg_rating", "last_refresh_date")],
+        F.col("o_orderpriority").alias("Title Type"),
+        F.lit("N").alias("Is Top Title"),
+        F.col("o_orderkey").alias("Title ID"),
+        *[F.lit(1).alias(c) for c in ("runtime_min", "box_office", "num_votes")],
+    )
+    page = overview(orders, _CHOSEN, _TYPED)
+    lists = [
+        page[f"slicer: {c}"].select(F.lit(c).alias("slicer"), F.col(f"`{c}`").cast("string").alias("offered"))
+        for c in _SLICERS
+    ]
+    return reduce(DataFrame.union, lists)

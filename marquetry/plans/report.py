@@ -59,9 +59,19 @@ def overview(
     values: Mapping[str, Iterable] | None = None,
     texts: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """The report page: slicer lists, bar chart and card under one filter."""
+    """The report page: slicer lists, bar chart and card under one filter.
+
+    A slicer filters all others but not its own list, so another choice stays open.
+    """
+
+    def of_others(own: str) -> Column:
+        return filter_context(
+            {c: v for c, v in (values or {}).items() if c != own},
+            {c: t for c, t in (texts or {}).items() if c != own},
+        )
+
     context = filter_context(values, texts)
-    page = {f"slicer: {c}": slicer_values(model, c) for c in [*VALUE_SLICERS, *TEXT_SLICERS]}
+    page = {f"slicer: {c}": slicer_values(model, c, of_others(c)) for c in [*VALUE_SLICERS, *TEXT_SLICERS]}
     page["bar"] = summarize(model, [BAR_BY], BAR_MEASURES, context, BAR_MEASURES[0])
     page["card"] = summarize(model, [], CARD_MEASURES, context)
     return page

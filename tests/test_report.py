@@ -75,5 +75,11 @@ def test_page(model):
     assert tuple(overview(model)["bar"].first()) == ("movie", 2)
 
 
+def test_slicers_filter_each_other(model):
+    page = overview(model, {"Release Year": [1999]}, {"Directors": "n"})
+    offered = {c: {r[0] for r in page[f"slicer: {c}"].collect()} for c in ("Release Year", "Directors", "Generes")}
+    assert offered == {"Release Year": {1999, 2001}, "Directors": {"Ann; Bob"}, "Generes": {"Drama"}}
+
+
 def test_default_summary(model):
     assert set(default_summary(model.columns)) == {"runtime_min", "avg_rating", "num_votes", "box_office"}
