@@ -10,7 +10,9 @@ from __future__ import annotations
 import string
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.joins import skew_join
 from .registry import table
 
 BASICS = """
@@ -59,13 +61,11 @@ FROM {nation}"""
 GROSS_ROWS = """
 SELECT 'tt' || CAST(l_orderkey AS STRING) AS tconst, 'Order ' || CAST(o_custkey AS STRING) AS movie_name,
        CAST(year(o_orderdate) AS BIGINT) AS movie_year, CAST(floor(l_extendedprice) AS BIGINT) AS box_office
-FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
-WHERE l_returnflag = 'R' AND o_orderstatus = 'F'
+FROM {sales} WHERE l_returnflag = 'R' AND o_orderstatus = 'F'
 UNION ALL
 SELECT 'NA', 'Order ' || CAST(o_custkey AS STRING),
        CAST(year(o_orderdate) AS BIGINT), CAST(floor(l_extendedprice) AS BIGINT)
-FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
-WHERE l_returnflag = 'A' OR (l_returnflag = 'R' AND o_orderstatus = 'F')"""
+FROM {sales} WHERE l_returnflag = 'A' OR (l_returnflag = 'R' AND o_orderstatus = 'F')"""
 
 TITLE_CREW = """
 SELECT 'tt' || CAST(l_orderkey AS STRING) AS tconst,
@@ -112,8 +112,15 @@ def _fields(template: str) -> set[str]:
     return {name for _, name, _, _ in string.Formatter().parse(template) if name}
 
 
+def sales(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items with their orders."""
+    lines = table(spark, sf, "lineitem").withColumn("o_orderkey", F.col("l_orderkey"))
+    return skew_join(lines, table(spark, sf, "orders"), ["o_orderkey"])
+
+
 def frame(spark: SparkSession, sf: str, template: str) -> DataFrame:
-    tables = {name: table(spark, sf, name) for name in _fields(template) - set(_MODEL_NAMES)}
+    names = _fields(template) - set(_MODEL_NAMES)
+    tables = {n: sales(spark, sf) if n == "sales" else table(spark, sf, n) for n in names}
     labels = {k: f"`{v}`" for k, v in _MODEL_NAMES.items()}
     text = template
     for name, label in labels.items():
@@ -124,5 +131,6 @@ def frame(spark: SparkSession, sf: str, template: str) -> DataFrame:
 def inline(template: str) -> str:
     """The same SELECT for the oracle, usable as ``FROM {inline(X)} alias``."""
     names = {name: name for name in _fields(template)}
+    names |= {"sales": "(lineitem JOIN orders ON l_orderkey = o_orderkey)"}
     names |= {k: f'"{v}"' for k, v in _MODEL_NAMES.items()}
     return "(" + template.format(**names) + ")"

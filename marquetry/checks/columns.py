@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import money, non_empty, title_id, yes_no
 from ..operators.groups import cond_max
-from ..operators.joins import lookup_join
+from ..operators.joins import skew_join
 from ..operators.rank import top1_per_group
 from ..operators.reshape import explode_list, flag_columns as flags
 from ..plans.top_title import flag_lists, places_before
@@ -182,7 +182,7 @@ def case_key_join(spark: SparkSession, sf: str) -> DataFrame:
     url = F.col("url")
     key = F.when(url.like("%/en/%"), "en").when(url.like("%/fr/%"), "fr").when(url.like("%/de/%"), "de")
     keyed = table(spark, sf, "pages").select("page_id", key.alias("lang"))
-    return lookup_join(keyed, dim, ["lang"]).select("page_id", "n_docs")
+    return skew_join(keyed, dim, ["lang"], "left").select("page_id", "n_docs")
 
 
 @check("""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import yes_no
 from ..operators.groups import cond_list, sorted_set, string_list
+from ..operators.joins import skew_join
 from ..operators.rank import cond_rank as ranked_if
 from ..operators.rank import dist_row_number
 from .registry import check, table
@@ -41,7 +42,8 @@ def string_list_distinct(spark: SparkSession, sf: str) -> DataFrame:
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_orderkey""")
 def cond_string_list(spark: SparkSession, sf: str) -> DataFrame:
     lines, supplier = table(spark, sf, "lineitem"), table(spark, sf, "supplier")
-    named = lines.join(supplier, lines.l_suppkey == supplier.s_suppkey)
+    names = supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    named = skew_join(lines, names, ["l_suppkey"])
     flag = F.col("l_returnflag")
     tests = {
         "returned": flag == "R",

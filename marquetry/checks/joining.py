@@ -63,6 +63,37 @@ def not_exists(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# A third of the line items on one key, another tenth on none.
+_HOT = """CASE WHEN l_linenumber % 3 = 0 THEN 7 WHEN l_quantity = 10 THEN NULL ELSE l_suppkey END"""
+
+
+def hot_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.expr(_HOT).alias("s_suppkey"))
+
+
+@check(f"""
+    SELECT l_orderkey, l_linenumber, l.s_suppkey, s_name FROM (SELECT *, {_HOT} AS s_suppkey FROM lineitem) l
+    JOIN supplier s ON s.s_suppkey = l.s_suppkey""")
+def hot_key_inner(spark: SparkSession, sf: str) -> DataFrame:
+    names = table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    return skew_join(hot_lines(spark, sf), names, ["s_suppkey"])
+
+
+@check(f"""
+    SELECT l_orderkey, l_linenumber, l.s_suppkey, s_name FROM (SELECT *, {_HOT} AS s_suppkey FROM lineitem) l
+    LEFT JOIN (SELECT * FROM supplier WHERE s_nationkey < 12) s ON s.s_suppkey = l.s_suppkey""")
+def hot_key_left(spark: SparkSession, sf: str) -> DataFrame:
+    names = table(spark, sf, "supplier").filter("s_nationkey < 12").select("s_suppkey", "s_name")
+    return skew_join(hot_lines(spark, sf), names, ["s_suppkey"], "left")
+
+
+@check(f"""
+    SELECT l_orderkey, l_linenumber, s_suppkey FROM (SELECT *, {_HOT} AS s_suppkey FROM lineitem) l
+    WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.s_suppkey AND s_nationkey < 12)""")
+def hot_key_anti(spark: SparkSession, sf: str) -> DataFrame:
+    return anti_join(hot_lines(spark, sf), table(spark, sf, "supplier").filter("s_nationkey < 12"), ["s_suppkey"])
+
+
 @check("""
     SELECT l_orderkey, l_returnflag, s_name, n_name FROM lineitem
     JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey""")
@@ -83,7 +114,7 @@ def crew_inner(spark: SparkSession, sf: str) -> DataFrame:
 def explode_lookup(spark: SparkSession, sf: str) -> DataFrame:
     words = explode_list(table(spark, sf, "part").select("p_partkey", "p_name"), "p_name", "word", " ")
     dim = words.filter("word <> 'bolt'").groupBy("word").agg(F.min("p_partkey").alias("first_part"))
-    return skew_join(words, dim, ["word"], "left")
+    return skew_join(words, dim, ["word"], "left", derived=True)
 
 
 @check(f"""
@@ -149,7 +180,7 @@ def left_join_on_predicate(spark: SparkSession, sf: str) -> DataFrame:
         ORDER BY p_retailprice DESC NULLS LAST, v DESC NULLS LAST, p_partkey) AS rn FROM pairs) WHERE rn = 1""")
 def entity_resolve(spark: SparkSession, sf: str) -> DataFrame:
     part, lines = table(spark, sf, "part"), table(spark, sf, "lineitem")
-    sold = lines.join(part, lines.l_partkey == part.p_partkey).select(
+    sold = skew_join(lines.withColumnRenamed("l_partkey", "p_partkey"), part, ["p_partkey"]).select(
         "p_partkey", "p_name", "p_size", "p_brand", "l_linestatus", F.floor("l_extendedprice").cast("bigint").alias("v")
     )
     # Read three times below, so written once.

@@ -43,15 +43,19 @@ def cond_list(
     text = F.col("_value")
     if not distinct:
         text = F.concat(F.repeat(F.concat(text, F.lit(sep)), F.col("_copies") - 1), text)
-    texts = counted.withColumn("_item", F.when(F.col("_value").isNotNull(), F.struct("_value", text.alias("_text"))))
+    item = F.struct("_value", text.alias("_text"), *flags)
+    # One list of a group's values, from which each condition takes its own.
+    listed = counted.groupBy(*by).agg(
+        F.sort_array(F.collect_list(F.when(F.col("_value").isNotNull(), item))).alias("_items")
+    )
 
     def joined(flag: str) -> Column:
-        items = F.sort_array(F.collect_list(F.when(F.col(flag), F.col("_item"))))["_text"]
+        items = F.transform(F.filter("_items", lambda i: i[flag]), lambda i: i["_text"])
         # A value that meets several conditions in several ways comes more than once.
         items = F.array_distinct(items) if distinct and len(flags) > 1 else items
         return F.when(F.size(items) > 0, F.array_join(items, sep))
 
-    return texts.groupBy(*by).agg(*[joined(f).alias(n) for f, n in zip(flags, names)])
+    return listed.select(*by, *[joined(f).alias(n) for f, n in zip(flags, names)])
 
 
 def string_list(

@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-# Estimated size from which on the many side of a join is checked for hot keys.
-SALT_FROM_BYTES = 1 << 30
+from ..sources.scratch import stage
 
 
 def shuffle_width(df: DataFrame) -> int:
@@ -31,30 +29,24 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     )
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate; filters and joins only make it too high."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def skew_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    salt_from: int = SALT_FROM_BYTES,
+    derived: bool = False,
 ) -> DataFrame:
     """Join many-to-one ``left`` to ``right`` on equally named columns.
 
     Rows of a hot left key (null included) are spread over as many salts as the
     key fills average partitions, and the matching right rows are repeated once
-    per salt. All other keys keep salt 0, so they cost nothing extra. Below
-    ``salt_from`` estimated bytes even all rows in one task are no burden, and the
-    keys are not counted. ``how`` is ``inner``, ``left``, ``left_semi`` or
-    ``left_anti``.
+    per salt. All other keys keep salt 0. Keys are counted at every size, in a
+    pass over the key columns that combines map-side; say ``derived`` if ``left``
+    is more than a scan, and it is written once and read for both. ``how`` is
+    ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
     on = list(on)
-    if estimated_bytes(left) < salt_from:
-        return left.join(right, on, how)
+    left = stage(left, "skewed") if derived else left
     hot = F.broadcast(hot_keys(left, on))
 
     def with_salts(df: DataFrame) -> DataFrame:
@@ -70,10 +62,12 @@ def skew_join(
     return many.drop("_salts", "_mix").join(one.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
-def anti_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def anti_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], derived: bool = False
+) -> DataFrame:
     """Left rows without a partner; copies of right keys are combined map-side."""
     on = list(on)
-    return skew_join(left, right.select(*on).distinct(), on, "left_anti")
+    return skew_join(left, right.select(*on).distinct(), on, "left_anti", derived)
 
 
 def hashable(df: DataFrame) -> list[str]:
@@ -81,42 +75,17 @@ def hashable(df: DataFrame) -> list[str]:
     return [n for n, t in df.dtypes if "map<" not in t and t != "variant"]
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> bool:
-    """Whether ``df`` is proven small, by reading at most ``max_rows`` + 1 rows."""
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("bytes"),
-    )
-    size = probe.first()
-    return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
-
-
-def lookup_join(
-    left: DataFrame, dimension: DataFrame, on: Sequence[str], how: str = "left"
-) -> DataFrame:
-    """Join to a dimension: broadcast if it is proven small, else salted shuffle."""
-    if fits_broadcast(dimension):
-        return left.join(F.broadcast(dimension), list(on), how)
-    return skew_join(left, dimension, on, how)
-
-
 def filtered_left_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    right_filter: Column,
-    salt_from: int = SALT_FROM_BYTES,
+    left: DataFrame, right: DataFrame, on: Sequence[str], right_filter: Column
 ) -> DataFrame:
     """One-to-many left join whose ON clause also filters the right side.
 
     Left rows without a passing partner stay; the filter reaches the right scan.
-    An outer join cannot split a hot right key, so a large right side is joined as
-    the salted inner part and the left rows without partner.
+    An outer join cannot split a hot right key, so the result is the salted inner
+    part and the left rows without partner.
     """
     on = list(on)
     kept = right.filter(right_filter)
-    if estimated_bytes(kept) < salt_from:
-        return left.join(kept, on, "left")
     columns = [*left.columns, *[c for c in right.columns if c not in on]]
-    matched = skew_join(kept, left, on, salt_from=salt_from).select(*columns)
+    matched = skew_join(kept, left, on).select(*columns)
     return matched.unionByName(anti_join(left, kept, on), allowMissingColumns=True)

@@ -55,13 +55,25 @@ def dist_row_number(
 
 
 def cond_rank(
-    df: DataFrame, flag: Column, order: Sequence[Column], out: str, default: int = 9999
+    df: DataFrame,
+    flag: Column,
+    order: Sequence[Column],
+    out: str,
+    default: int = 9999,
+    behind: Column | None = None,
 ) -> DataFrame:
     """Rank by (flagged first, then ``order``); rows without the flag get ``default``.
 
     Flagged rows come first, so ranking them alone gives the same numbers and
-    the other rows are never sorted.
+    the other rows are never sorted. Flagged rows that are ``behind`` sort after
+    all rows without the flag (their keys are worse than the keys those are given),
+    so the number of these is added. Name the columns that ``order`` needs only:
+    every column of ``df`` is moved.
     """
     marked = F.coalesce(flag, F.lit(False))
     ranked = dist_row_number(df.filter(marked), order, out)
-    return ranked.unionByName(df.filter(~marked).withColumn(out, F.lit(default).cast("bigint")))
+    others = df.filter(~marked)
+    if behind is not None:
+        skipped = others.agg(F.count(F.lit(1))).scalar()
+        ranked = ranked.withColumn(out, F.col(out) + F.when(behind, skipped).otherwise(F.lit(0)))
+    return ranked.unionByName(others.withColumn(out, F.lit(default).cast("bigint")))

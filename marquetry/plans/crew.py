@@ -24,27 +24,24 @@ def build_credits(title_crew: DataFrame, principals: DataFrame, dedupe: bool = T
 
 def build_people(names: DataFrame, basics: DataFrame, keep_without_titles: bool = False) -> DataFrame:
     """One row per person with the titles they are known for as one text."""
-    known = explode_list(
-        names.select("nconst", "primaryName", "birthYear", "deathYear", "primaryProfession", "knownForTitles"),
-        "knownForTitles",
-        "_title",
-        outer=keep_without_titles,
-    )
+    known = explode_list(names.select("nconst", "knownForTitles"), "knownForTitles", "_title")
     label = F.concat("primaryTitle", F.lit(" ("), F.col("startYear").cast("string"), F.lit(")"))
     titles = basics.select(F.col("tconst").alias("_title"), label.alias("_label"))
     labels = sorted_set(F.col("_label"))
-    # The set is no larger than the one cell it was split from.
-    return (
-        skew_join(known, titles, ["_title"], "left")
-        .groupBy(
-            "nconst",
-            F.col("primaryName").alias("name"),
-            F.col("birthYear").alias("birth_year"),
-            F.col("deathYear").alias("death_year"),
-            F.col("primaryProfession").alias("primary_profession"),
-        )
+    # Only ids and labels move here; the set is no larger than the cell it was split from.
+    texts = (
+        skew_join(known, titles, ["_title"], "left", derived=True)
+        .groupBy("nconst")
         .agg(F.when(F.size(labels) > 0, F.array_join(labels, ", ")).alias("known_for_titles"))
     )
+    people = names.select(
+        "nconst",
+        F.col("primaryName").alias("name"),
+        F.col("birthYear").alias("birth_year"),
+        F.col("deathYear").alias("death_year"),
+        F.col("primaryProfession").alias("primary_profession"),
+    )
+    return people.join(texts, "nconst", "left" if keep_without_titles else "inner")
 
 
 def build_crew(
@@ -58,7 +55,7 @@ def build_crew(
     """Credits with person attributes; a person with very many credits is salted."""
     credits = build_credits(title_crew, principals, dedupe)
     people = build_people(names, basics, keep_without_titles)
-    return skew_join(credits, people, ["nconst"]).select(
+    return skew_join(credits, people, ["nconst"], derived=True).select(
         "tconst",
         "category",
         "name",

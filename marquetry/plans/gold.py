@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.groups import cond_list
-from ..operators.rank import dist_row_number
+from ..operators.rank import cond_rank, dist_row_number
 from ..sources.concurrent_jobs import run_together
 from ..sources.scratch import stage
 from .top_title import CHARTS
@@ -43,11 +43,16 @@ def gold_star(
     Credits and revenue come down to one row per title before they are joined, so
     all three joins are one-to-one on the same key and share its partitioning.
     """
+    kept = title.filter(F.col("title_type").isin(*TITLE_TYPES))
+    return with_lists_and_revenue(kept.join(credit_lists(crew), "tconst", "left"), top, boxoffice)
+
+
+def with_lists_and_revenue(
+    titles: DataFrame, top: DataFrame, boxoffice: DataFrame
+) -> DataFrame:
     revenue = boxoffice.groupBy("tconst").agg(F.max("box_office").alias("box_office"))
     return (
-        title.filter(F.col("title_type").isin(*TITLE_TYPES))
-        .join(credit_lists(crew), "tconst", "left")
-        .join(top, "tconst", "left")
+        titles.join(top, "tconst", "left")
         .join(revenue, "tconst", "left")
         .withColumns({rank: F.coalesce(rank, F.lit(UNRANKED).cast("bigint")) for rank in CHARTS})
         .withColumns(
@@ -56,6 +61,21 @@ def gold_star(
     )
 
 
+def rank_keys(title: DataFrame, top: DataFrame, boxoffice: DataFrame) -> DataFrame:
+    """What the two overall ranks sort by, one narrow row per title of the kept types."""
+    kept = title.filter(F.col("title_type").isin(*TITLE_TYPES)).select("tconst", "num_votes", "avg_rating")
+    return with_lists_and_revenue(kept, top, boxoffice).select(
+        "tconst",
+        *CHARTS,
+        "is_top_title",
+        "popularity_rnk",
+        "language_popularity_rnk",
+        "top_title_rnk",
+        "language_votes_rnk",
+        *STRENGTH,
+    )
+
+
 def build_gold(
     title: DataFrame,
     crew: DataFrame,
@@ -63,7 +83,11 @@ def build_gold(
     boxoffice: DataFrame,
     run_date: datetime.date | None = None,
 ) -> DataFrame:
-    """The star with its two overall ranks; ties are broken by the unique title id."""
+    """The star with its two overall ranks; ties are broken by the unique title id.
+
+    The ranks need neither credits nor texts, so they are made from a narrow table,
+    and the star is joined once, never written or moved for them.
+    """
     by_strength = [*[F.col(c).desc_nulls_last() for c in STRENGTH], F.col("tconst").asc()]
     by_popularity = [
         F.col("popularity_rnk").asc_nulls_last(),
@@ -73,39 +97,25 @@ def build_gold(
         *by_strength,
     ]
     day = F.current_date() if run_date is None else F.lit(run_date)
-    # Written once: the joins behind it would otherwise run again for every ranking
-    # pass. Ranking then moves the sort keys only, never the wide rows.
-    star = stage(gold_star(title, crew, top, boxoffice).withColumn("last_refresh_date", day), "star")
-    # This order still sees the list rank that the new top rank replaces below.
-    popularity_keys = [
-        "tconst", "popularity_rnk", "language_popularity_rnk", "top_title_rnk", "language_votes_rnk", *STRENGTH,
-    ]
-
-    # Titles on a top list sort before all others, so only they need sorting, with
-    # one exception: a chart rank beyond UNRANKED sorts after every other title.
-    listed = F.col("is_top_title") == "Y"
-    by_chart = [F.col(rank).asc() for rank in CHARTS]
-    chart_keys = star.filter(listed).select("tconst", *CHARTS, *STRENGTH)
+    keys = stage(rank_keys(title, top, boxoffice), "rank-keys")
+    by_chart = [*[F.col(rank).asc() for rank in CHARTS], *by_strength]
+    behind = F.struct(*CHARTS) > F.struct(*[F.lit(UNRANKED).cast("bigint").alias(r) for r in CHARTS])
     ranks = run_together(
-        star.sparkSession,
+        keys.sparkSession,
         {
-            "popularity": lambda: dist_row_number(
-                star.select(*popularity_keys), by_popularity, "overall_popularity_rnk"
+            # This order still sees the list rank that the chart rank replaces.
+            "popularity": lambda: dist_row_number(keys, by_popularity, "overall_popularity_rnk"),
+            # Titles on a top list sort before all others, so only they are sorted.
+            "charted": lambda: cond_rank(
+                keys, F.col("is_top_title") == "Y", by_chart, "_chart_rnk", UNRANKED, behind
             ),
-            "charted": lambda: dist_row_number(chart_keys, [*by_chart, *by_strength], "_place"),
         },
         parallelism=2,
     )
-    popularity, charted = ranks["popularity"], ranks["charted"]
-    behind = F.struct(*CHARTS) > F.struct(*[F.lit(UNRANKED).cast("bigint").alias(r) for r in CHARTS])
-    skipped = star.filter(~listed).agg(F.count(F.lit(1)).alias("n")).scalar()
-    places = charted.select(
-        "tconst", (F.col("_place") + F.when(behind, skipped).otherwise(F.lit(0))).alias("_place")
-    )
-    unranked = F.lit(UNRANKED).cast("bigint")
     return (
-        star.join(popularity.select("tconst", "overall_popularity_rnk"), "tconst")
-        .join(places, "tconst", "left")
-        .withColumn("top_title_rnk", F.coalesce("_place", unranked))
+        gold_star(title, crew, top, boxoffice)
+        .join(ranks["popularity"].select("tconst", "overall_popularity_rnk"), "tconst")
+        .join(ranks["charted"].select("tconst", "_chart_rnk"), "tconst")
+        .withColumns({"top_title_rnk": F.col("_chart_rnk"), "last_refresh_date": day})
         .select(*COLUMNS)
     )

@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import yes_no
-from ..operators.groups import cond_max, string_list
-from ..operators.joins import lookup_join
+from ..operators.groups import cond_max, sorted_set
+from ..operators.joins import skew_join
 from ..operators.pages import NO_ID
-from ..operators.reshape import flag_columns
 from ..sources.scratch import stage
 
 # How a list type tells which list it is.
@@ -53,72 +52,68 @@ def list_flags(kind: Column) -> dict[str, Column]:
     }
 
 
-def describe_lists(kinds: DataFrame) -> DataFrame:
-    """Language code, page offset and one Y/N column per flag of each list type."""
-    kind = F.col("type")
-    flagged = kinds.select(
+def on_top_list(flags: dict[str, Column]) -> Column:
+    found = flags["in_top_1000"]
+    for rank in CHARTS:
+        found = found | flags[f"on_{rank}"]
+    return found
+
+
+def described(kinds: DataFrame) -> DataFrame:
+    """Language code, page offset and the flags of each list type, as booleans."""
+    flags = list_flags(F.col("type"))
+    return kinds.select(
         "type",
-        list_language(kind).alias("lang_code"),
-        places_before(kind).alias("_before"),
-        *flag_columns(list_flags(kind)),
+        list_language(F.col("type")).alias("lang_code"),
+        places_before(F.col("type")).alias("_before"),
+        *[test.alias(name) for name, test in flags.items()],
+        on_top_list(flags).alias("is_top_title"),
     )
-    on_top_list = F.col("in_top_1000") == "Y"
-    for rank in CHARTS:
-        on_top_list = on_top_list | (F.col(f"on_{rank}") == "Y")
-    return flagged.withColumn("is_top_title", yes_no(on_top_list))
 
 
-def flag_lists(list_rows: DataFrame, lang: DataFrame | None = None) -> DataFrame:
-    """List rows with overall rank, flags and, given ``lang``, the language name.
+def looked_up(list_rows: DataFrame, lang: DataFrame | None) -> DataFrame:
+    """List rows with overall rank, boolean flags and, given ``lang``, the language name.
 
-    There are far fewer list types than rows, so the patterns run once per type
-    and the rows look the outcome up. The types are staged because the size check
-    and the join both read them.
+    There are far fewer list types than rows, so the patterns run once per type and
+    the rows look the outcome up; the types are staged, so their size is known.
     """
     typed = list_rows.select("tconst", "rnk", F.coalesce("type", F.lit("")).alias("type"))
-    lists = describe_lists(typed.select("type").distinct())
+    lists = described(typed.select("type").distinct())
     if lang is not None:
-        lists = lookup_join(lists, lang.select("lang_code", "lang_name"), ["lang_code"])
-    rows = lookup_join(typed, stage(lists, "lists"), ["type"])
+        lists = lists.join(lang.select("lang_code", "lang_name"), "lang_code", "left")
+    rows = skew_join(typed, stage(lists, "lists"), ["type"], "left")
     return rows.withColumn("rnk", F.col("rnk").cast("bigint") + F.col("_before")).drop("_before")
 
 
-def build_top_title(list_rows: DataFrame, lang: DataFrame) -> DataFrame:
-    """Languages, ranks and flags per title.
+def flag_lists(list_rows: DataFrame, lang: DataFrame | None = None) -> DataFrame:
+    """List rows with overall rank, Y/N flags and, given ``lang``, the language name."""
+    rows = looked_up(list_rows, lang)
+    flags = [name for name, kind in rows.dtypes if kind == "boolean"]
+    return rows.withColumns({name: yes_no(F.col(name)) for name in flags})
 
-    The ranks and flags are plain maxima, which combine map-side in a hash
-    aggregate; a title listed very often sends one partial row per task. The few
-    rows with a language make a second, narrow aggregate on the same key.
-    """
 
-    def is_yes(name: str) -> Column:
-        return F.col(name) == "Y"
+def build_top_title(list_rows: DataFrame, lang: DataFrame) -> DataFrame:
+    """Languages, ranks and flags per title, in one aggregate.
 
+    Maxima combine map-side, so a title listed very often sends one partial row per
+    task; its languages are a set no larger than the number of languages.
+    """
     known = list_rows.filter(F.col("tconst").isNotNull() & (F.col("tconst") != NO_ID))
-    named = flag_lists(known, lang)
+    primary = F.col("is_primary_lang")
     ranks = {
-        "top_title_rnk": is_yes("is_top_title"),
-        "popularity_rnk": is_yes("is_popular"),
-        "language_popularity_rnk": is_yes("is_primary_lang") & is_yes("is_asc"),
-        "language_votes_rnk": is_yes("is_primary_lang") & is_yes("is_desc"),
-    } | {rank: is_yes(f"on_{rank}") for rank in CHARTS}
-    ranked = named.groupBy("tconst").agg(
-        *cond_max(ranks, F.col("rnk")),
-        F.max(is_yes("in_top_1000")).alias("_in_top_1000"),
-        F.max(is_yes("is_top_title")).alias("_on_top_list"),
-    )
-    languages = string_list(
-        named.filter(F.col("lang_name").isNotNull()),
-        ["tconst"],
-        F.col("lang_name"),
-        "language_lst",
-        "; ",
-        distinct=True,
-    )
-    return ranked.join(languages, "tconst", "left").select(
-        "tconst",
-        "language_lst",
-        *ranks,
-        yes_no(F.col("_in_top_1000")).alias("is_top_1000_movie"),
-        yes_no(F.col("_on_top_list")).alias("is_top_title"),
+        "top_title_rnk": F.col("is_top_title"),
+        "popularity_rnk": F.col("is_popular"),
+        "language_popularity_rnk": primary & F.col("is_asc"),
+        "language_votes_rnk": primary & F.col("is_desc"),
+    } | {rank: F.col(f"on_{rank}") for rank in CHARTS}
+    languages = sorted_set(F.col("lang_name"))
+    return (
+        looked_up(known, lang)
+        .groupBy("tconst")
+        .agg(
+            F.when(F.size(languages) > 0, F.array_join(languages, "; ")).alias("language_lst"),
+            *cond_max(ranks, F.col("rnk")),
+            yes_no(F.max("in_top_1000")).alias("is_top_1000_movie"),
+            yes_no(F.max("is_top_title")).alias("is_top_title"),
+        )
     )

@@ -53,7 +53,7 @@ def main() -> None:
     sf, wanted = sys.argv[1], sys.argv[2:]
     spark, con = session(), connect(sf)
     queries, oracles, failed = entry.queries(), entry.oracle_sql(), []
-    for name in wanted or queries:
+    for name in wanted or oracles:
         started = time.time()
         try:
             problem = differences(queries[name](spark, sf), con, oracles[name])

@@ -28,14 +28,14 @@ def bag(df):
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_salted_equals_plain(facts, dim, how):
-    assert bag(joins.skew_join(facts, dim, ["k"], how, salt_from=0)) == bag(facts.join(dim, ["k"], how))
+    assert bag(joins.skew_join(facts, dim, ["k"], how)) == bag(facts.join(dim, ["k"], how))
 
 
 def test_two_keys_and_copies(spark, dim):
     rows = spark.range(4000).select(F.lit(7).cast("bigint").alias("k"), F.lit("n7").alias("name"))
     rows = rows.union(dim)
     right = dim.withColumn("v", F.col("k") * 2)
-    got = joins.skew_join(rows, right, ["k", "name"], salt_from=0)
+    got = joins.skew_join(rows, right, ["k", "name"])
     assert bag(got) == bag(rows.join(right, ["k", "name"]))
 
 
@@ -50,7 +50,7 @@ def test_hot_rows_are_spread(spark, facts, dim):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", False)
     try:
-        joined = joins.skew_join(facts.repartition(8), dim, ["k"], salt_from=0)
+        joined = joins.skew_join(facts.repartition(8), dim, ["k"])
         sizes = joined.filter("k = 7").groupBy(F.spark_partition_id()).count().collect()
         assert len(sizes) >= 2 and max(r["count"] for r in sizes) < 10_000
     finally:
@@ -63,7 +63,7 @@ def test_copies_of_one_row_are_spread(spark, dim):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", False)
     try:
-        joined = joins.skew_join(copies, dim, ["k"], salt_from=0)
+        joined = joins.skew_join(copies, dim, ["k"])
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
         assert sum(r["count"] for r in sizes) == 8000 and len(sizes) >= 2
     finally:
@@ -71,18 +71,14 @@ def test_copies_of_one_row_are_spread(spark, dim):
         spark.conf.set("spark.sql.adaptive.enabled", True)
 
 
-def test_lookup_both_ways(facts, dim, monkeypatch):
-    assert joins.fits_broadcast(dim) and not joins.fits_broadcast(dim, max_rows=449)
-    assert not joins.fits_broadcast(dim, max_bytes=100)
-    plain = bag(facts.join(dim, ["k"], "left"))
-    assert bag(joins.lookup_join(facts, dim, ["k"])) == plain
-    monkeypatch.setattr(joins, "fits_broadcast", lambda _: False)
-    assert bag(joins.lookup_join(facts, dim, ["k"])) == plain
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_derived_left_is_read_once(facts, dim, how):
+    derived = facts.union(facts).distinct()
+    assert bag(joins.skew_join(derived, dim, ["k"], how, derived=True)) == bag(derived.join(dim, ["k"], how))
 
 
-@pytest.mark.parametrize("salt_from", [0, 1 << 60])
-def test_left_join_with_filter_in_on(facts, dim, salt_from):
-    got = joins.filtered_left_join(dim, facts, ["k"], F.col("id") > 15_000, salt_from)
+def test_left_join_with_filter_in_on(facts, dim):
+    got = joins.filtered_left_join(dim, facts, ["k"], F.col("id") > 15_000)
     expected = dim.join(facts.filter("id > 15000"), ["k"], "left")
     assert bag(got.select("k", "name", "id")) == bag(expected.select("k", "name", "id"))
     assert got.select("k").distinct().count() == 450

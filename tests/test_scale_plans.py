@@ -12,6 +12,7 @@ SF = "/root/testdata/sf0.001"
 BUILDS = [
     "build_title", "build_top_title", "build_boxoffice", "build_crew", "gold_star", "entity_resolve",
     "top1_per_group", "cond_string_list", "case_key_join", "explode_lookup", "left_join_on_predicate",
+    "hot_key_inner", "hot_key_left", "hot_key_anti",
 ]
 
 
@@ -23,7 +24,11 @@ def plan_of(df) -> str:
 def test_no_pairs_and_no_single_task(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "SinglePartition" not in plan and "PythonUDF" not in plan and "Scan ExistingRDD" not in plan
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        # One partial sum per task makes the total by which a key counts as hot.
+        assert "SinglePartition" not in line or "partial_sum(_rows" in lines[i + 1]
+    assert "PythonUDF" not in plan and "Scan ExistingRDD" not in plan
 
 
 def test_numbering_windows_only_the_partition_sizes(spark):
@@ -76,3 +81,39 @@ def test_gold_joins_share_one_partitioning(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", True)
+
+
+def test_hot_keys_are_salted_at_every_size(spark):
+    for name in ("hot_key_inner", "hot_key_left", "hot_key_anti", "crew_inner", "inner_multi_key"):
+        assert "_salt" in plan_of(entry.queries()[name](spark, SF)), name
+
+
+def test_credit_lists_are_not_moved_again(spark):
+    """From the lists' own aggregation to the result of gold there is no exchange."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        plan = plan_of(entry.queries()["build_gold"](spark, SF))
+        moved = [line for line in plan.splitlines() if "Exchange" in line]
+        assert moved and not any("director_lst" in line or "actor_lst" in line for line in moved)
+        lines = plan.splitlines()
+        first = next(i for i, line in enumerate(lines) if "director_lst" in line and "Project" in line)
+        assert not any("Exchange" in line and "_items" in line for line in lines[first:])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", True)
+
+
+def test_people_attributes_wait_for_the_person_join(spark):
+    from marquetry.checks.analogues import BASICS, NAMES, frame
+    from marquetry.plans.crew import build_people
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        plan = plan_of(build_people(frame(spark, SF, NAMES), frame(spark, SF, BASICS)))
+        aggregates = [line for line in plan.splitlines() if "Aggregate" in line and "known" not in line]
+        assert not any("birth" in line or "primaryProfession" in line for line in aggregates)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", True)
