@@ -187,6 +187,16 @@ def build_crew(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Copies of credits stay, and people without known titles keep theirs.
+CREW_ALL_SQL = CREW_SQL.replace("UNION SELECT *", "UNION ALL SELECT *").replace("JOIN labels", "LEFT JOIN labels")
+
+
+@check(CREW_ALL_SQL)
+def crew_options(spark: SparkSession, sf: str) -> DataFrame:
+    inputs = [frame(spark, sf, x) for x in (TITLE_CREW, PRINCIPALS, NAMES, BASICS)]
+    return crew.build_crew(*inputs, dedupe=False, keep_without_titles=True)
+
+
 @check(GOLD_SQL)
 def build_gold(spark: SparkSession, sf: str) -> DataFrame:
     # As in a refresh, gold reads silver tables that were written before.

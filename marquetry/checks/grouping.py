@@ -10,6 +10,7 @@ from ..operators.groups import cond_list, sorted_set, string_list
 from ..operators.joins import skew_join
 from ..operators.rank import cond_rank as ranked_if
 from ..operators.rank import dist_row_number
+from ..operators.reshape import unpivot_lists
 from .registry import check, table
 
 
@@ -106,6 +107,16 @@ def unpivot_measures(spark: SparkSession, sf: str) -> DataFrame:
     return lines.unpivot(["l_orderkey", "l_linenumber"], ["discount", "tax"], "measure", "amount")
 
 
+@check("""
+    SELECT p_partkey, 'words' AS kind, unnest(string_split(p_name, ' ')) AS item FROM part
+    UNION ALL SELECT p_partkey, 'types', unnest(string_split(p_type, ' ')) FROM part WHERE p_size > 10""", "unpivot_lists")
+def unpivot_lists_of_parts(spark: SparkSession, sf: str) -> DataFrame:
+    parts = table(spark, sf, "part").select(
+        "p_partkey", "p_name", F.when(F.col("p_size") > 10, F.col("p_type")).alias("p_type")
+    )
+    return unpivot_lists(parts, "p_partkey", {"words": "p_name", "types": "p_type"}, "kind", "item", " ")
+
+
 @check("""
     SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice,
            row_number() OVER (ORDER BY chosen ASC NULLS LAST, l_extendedprice DESC NULLS LAST,
@@ -131,6 +142,21 @@ def cond_rank(spark: SparkSession, sf: str) -> DataFrame:
     return ranked_if(orders, F.col("o_orderpriority") == "1-URGENT", order, "rnk").select("o_orderkey", "rnk")
 
 
+@check("""
+    SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN row_number() OVER (
+               ORDER BY CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey ELSE 50 END,
+                        o_orderpriority = '1-URGENT' DESC, o_orderkey)
+           ELSE 9999 END AS rnk
+    FROM orders""")
+def cond_rank_behind(spark: SparkSession, sf: str) -> DataFrame:
+    """Urgent orders of customers above 50 rank behind all orders that are not urgent."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
+    order = [F.col("o_custkey").asc(), F.col("o_orderkey").asc()]
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    ranked = ranked_if(orders, urgent, order, "rnk", behind=F.col("o_custkey") > 50)
+    return ranked.select("o_orderkey", "rnk")
+
+
 @check("""
     SELECT doc_id, row_number() OVER (ORDER BY quality ASC NULLS LAST, toxic DESC NULLS LAST, n_chars DESC, doc_id) AS pos
     FROM documents LEFT JOIN labels USING (doc_id)""")
