@@ -73,6 +73,14 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(on, bitorder="little").view(np.int64)[0])
 
 
+def near_blocks(value: int) -> np.ndarray:
+    """Each block of a fingerprint with up to ``BLOCK_RADIUS`` bits turned, marked with its number."""
+    every = np.arange(1 << BLOCK_BITS, dtype=np.int32)
+    masks = every[np.bitwise_count(every) <= BLOCK_RADIUS]
+    own = [(value >> n * BLOCK_BITS) & ((1 << BLOCK_BITS) - 1) for n in range(BLOCKS)]
+    return np.concatenate([(masks ^ block) + (n << BLOCK_BITS) for n, block in enumerate(own)])
+
+
 def slots(hashes: np.ndarray, size: int) -> np.ndarray:
     """Places in the filter of shingles that belong to items of ``size`` words (0: of any)."""
     salt = np.uint64(size * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
@@ -80,30 +88,33 @@ def slots(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def item_rows(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
-    """Per item with a word: its number of words, shingle hashes, fingerprint and filter places."""
+    """Per item with a word: its words, shingle hashes, fingerprint, block keys and filter places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            rows: list[list] = [[], [], [], [], []]
+            rows: list[list] = [[], [], [], [], [], []]
             for item, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = word_hashes(own, known)
                 if not len(words):
                     continue
                 made = shingles(words, width_of(len(words)))
                 places = np.concatenate([slots(made, 0), slots(made, len(words))])
-                values = (item, len(words), made.view(np.int64), fingerprint(made), places.view(np.int64))
+                own_print = fingerprint(made)
+                blocks = near_blocks(own_print)
+                values = (item, len(words), made.view(np.int64), own_print, blocks, places.view(np.int64))
                 for column, value in zip(rows, values):
                     column.append(value)
-            kinds = [batch.column(0).type, pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64())]
+            longs = pa.list_(pa.int64())
+            kinds = [batch.column(0).type, pa.int64(), longs, pa.int64(), pa.list_(pa.int32()), longs]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(rows, kinds)], ["item_id", "size", "item", "item_fp", "places"]
+                [pa.array(c, k) for c, k in zip(rows, kinds)], ["item_id", "size", "item", "item_fp", "blocks", "places"]
             )
 
     picked = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
     kind = picked.schema["item_id"].dataType.simpleString()
     made = picked.mapInArrow(
-        run, f"item_id {kind}, size bigint, item array<bigint>, item_fp bigint, places array<bigint>"
+        run, f"item_id {kind}, size bigint, item array<bigint>, item_fp bigint, blocks array<int>, places array<bigint>"
     )
     # Ids may be null or used twice, so items are told apart by id and content.
     return stage(made.withColumn("item_key", F.xxhash64("item_id", "item")), "items")
@@ -192,16 +203,13 @@ def window_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def block_keys(value: Column, radius: int) -> Column:
-    """Each block of a fingerprint with up to ``radius`` of its bits turned, marked with its number."""
-    every = F.sequence(F.lit(0), F.lit((1 << BLOCK_BITS) - 1))
-    masks = F.filter(every, lambda m: F.bit_count(m) <= radius)  # a constant, folded once
-
-    def turned(n: int) -> Column:
-        block = F.shiftrightunsigned(value, n * BLOCK_BITS).bitwiseAND((1 << BLOCK_BITS) - 1).cast("int")
-        return F.transform(masks, lambda m: block.bitwiseXOR(m) + n * (1 << BLOCK_BITS))
-
-    return F.flatten(F.array(*[turned(n) for n in range(BLOCKS)]))
+def block_keys(value: Column) -> Column:
+    """The blocks of a fingerprint, marked with their numbers."""
+    blocks = []
+    for n in range(BLOCKS):
+        block = F.shiftrightunsigned(value, n * BLOCK_BITS).bitwiseAND((1 << BLOCK_BITS) - 1)
+        blocks.append(block.cast("int") + n * (1 << BLOCK_BITS))
+    return F.array(*blocks)
 
 
 def weighted_similarity(window: list[int], item: list[int]) -> float:
@@ -248,8 +256,10 @@ def benchmark_matches(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
     rows = rows.select("doc_id", *row_key(F.col("doc_id"), F.col("_text")), "_text")
     windows = stage(window_rows(rows, items).distinct(), "windows")
-    index = items.select("item_key", "size", "item_fp", F.explode(block_keys(F.col("item_fp"), BLOCK_RADIUS)).alias("block"))
-    asked = windows.drop("window").withColumn("block", F.explode(block_keys(F.col("window_fp"), 0)))
+    index = items.select("item_key", "size", "item_fp", F.explode("blocks").alias("block"))
+    asked = windows.drop("window").withColumn("block", F.explode(block_keys(F.col("window_fp"))))
+    # The planner does not see how many rows an item becomes, so the join is said to be by merging.
+    index = index.hint("merge")
     close = F.bit_count(F.col("item_fp").bitwiseXOR(F.col("window_fp"))) <= RADIUS
     candidates = (
         asked.join(index, ["size", "block"])
