@@ -94,7 +94,7 @@ def pivot_links(nodes: DataFrame) -> DataFrame:
     rows = nodes.select("fp", "copies", F.explode(bands(F.col("fp"))).alias("band"))
     picks = [F.min_by("fp", F.xxhash64(F.lit(i), "fp")).alias(f"p{i}") for i in range(1, PIVOTS)]
     pivots = rows.groupBy("band").agg(F.max_by("fp", "copies").alias("p0"), *picks, F.count(F.lit(1)).alias("members"))
-    met = rows.join(pivots.filter("members > 1"), "band")
+    met = rows.join(pivots.filter("members > 1").hint("merge"), "band")
     near = F.filter(
         F.array(*[f"p{i}" for i in range(PIVOTS)]),
         lambda p: (p != F.col("fp")) & (distance(p, F.col("fp")) <= RADIUS),
@@ -105,7 +105,8 @@ def pivot_links(nodes: DataFrame) -> DataFrame:
 
 def links_of_singles(singles: DataFrame, nodes: DataFrame) -> DataFrame:
     """All links of fingerprints that no pivot was near to."""
-    asked = singles.select(F.col("fp").alias("a"), F.explode(variants(F.col("fp"))).alias("key"))
+    # The planner does not see that a row becomes 64, and would broadcast by the size before.
+    asked = singles.select(F.col("fp").alias("a"), F.explode(variants(F.col("fp"))).alias("key")).hint("merge")
     there = nodes.select(F.col("fp").alias("b"), F.explode(variants(F.col("fp"))).alias("key"))
     close = (F.col("a") != F.col("b")) & (distance(F.col("a"), F.col("b")) <= RADIUS)
     return asked.join(there, "key").filter(close).select("a", "b").distinct()
@@ -118,11 +119,11 @@ def links_of_groups(grouped: DataFrame) -> DataFrame:
     """
     members = grouped.select("fp", "root", F.explode(variants(F.col("fp"))).alias("key"))
     meeting = members.select("key", "root").distinct()
-    pairs = meeting.join(meeting.withColumnRenamed("root", "other"), "key").filter("root < other")
-    left = pairs.join(members.withColumnRenamed("fp", "a"), ["key", "root"])
+    pairs = meeting.join(meeting.withColumnRenamed("root", "other").hint("merge"), "key").filter("root < other")
+    left = pairs.join(members.withColumnRenamed("fp", "a").hint("merge"), ["key", "root"])
     right = members.select("key", F.col("root").alias("other"), F.col("fp").alias("b"))
     close = distance(F.col("a"), F.col("b")) <= RADIUS
-    found = left.join(right, ["key", "other"]).filter(close)
+    found = left.join(right.hint("merge"), ["key", "other"]).filter(close)
     return found.select(F.col("root").alias("a"), F.col("other").alias("b")).distinct()
 
 
