@@ -26,7 +26,7 @@ HEAD_SHARE = 1e-6
 #: Words that the model tells apart; all others are one class with unigram odds inside.
 MODEL_WORDS = 1023
 #: Size of word vectors, noise samples per batch, tokens per batch.
-WIDTH, NOISE, BATCH = 16, 64, 8192
+WIDTH, NOISE, BATCH = 16, 64, 2048
 #: Step of the training, and the sum of squared gradients with which each parameter starts.
 STEP, CALM = 0.1, 64.0
 #: Texts, about, on which the parameters are warmed up, and passes over them.
@@ -85,24 +85,41 @@ def scattered(rows: np.ndarray, values: np.ndarray, height: int) -> np.ndarray:
 
 
 class Trainer:
-    """Noise-contrastive estimation with per-parameter steps, in batches."""
+    """Noise-contrastive estimation with per-parameter steps, in batches.
 
-    def __init__(self, model: Model, noise: np.ndarray, seed: int) -> None:
-        self.model, self.rng = model, np.random.default_rng(seed)
+    The state is the parameters and, behind them, their sums of squared gradients, so
+    that a task goes on with steps as small as those before it.
+    """
+
+    def __init__(self, state: np.ndarray, noise: np.ndarray, seed: int) -> None:
+        self.rng = np.random.default_rng(seed)
+        self.model, squares = (Model.of(half, len(noise)) for half in np.split(state, 2))
         self.below = np.cumsum(noise / noise.sum())
         self.log_noise = np.log(noise * NOISE).astype(np.float32)
-        self.squares = [np.full(x.shape, CALM, np.float32) for x in (model.context, model.places, model.output, model.bias)]
+        self.squares = (squares.context, squares.places, squares.output, squares.bias)
         self.tokens = 0
 
+    @staticmethod
+    def start(noise: np.ndarray) -> np.ndarray:
+        parameters = Model.start(noise).flat()
+        return np.concatenate([parameters, np.full_like(parameters, CALM)])
+
+    def state(self) -> np.ndarray:
+        return np.concatenate([self.model.flat(), *[x.ravel() for x in self.squares]])
+
     def batch(self, near: np.ndarray, far: np.ndarray, word: np.ndarray) -> None:
         m, size = self.model, len(word)
         drawn = np.minimum(np.searchsorted(self.below, self.rng.random(NOISE)), len(m.bias) - 1)
         expected = m.predicted(near, far)
         own = m.output[word]
         real = np.einsum("ij,ij->i", expected, own) + m.bias[word] - self.log_noise[word]
-        fake = expected @ m.output[drawn].T + (m.bias[drawn] - self.log_noise[drawn])
-        up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        down = -1 / (1 + np.exp(np.clip(-fake, -30, 30)))
+        down = expected @ -m.output[drawn].T
+        down -= m.bias[drawn] - self.log_noise[drawn]
+        up = 1 / (1 + np.exp(np.minimum(real, 80)))
+        np.minimum(down, 80, out=down)
+        np.exp(down, out=down)
+        down += 1
+        np.divide(-1, down, out=down)
         at_expected = up[:, None] * own + down @ m.output[drawn]
         grad_out = scattered(word, up[:, None] * expected, len(m.bias))
         np.add.at(grad_out, drawn, down.T @ expected)
@@ -160,14 +177,14 @@ def chunks(texts: list[str]) -> Iterator[list[str]]:
 
 
 def training_runs(docs: DataFrame, head, start, passes: int) -> DataFrame:
-    """One row per task with text: its parameters after training on its texts, and its tokens."""
+    """One row per task with text: its state after training on its texts, and its tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, trainer = Head(**head.value), None
         for batch in batches:
             for own in chunks([t or "" for t in batch.column(0).to_pylist()]):
                 if trainer is None:
-                    trainer = Trainer(Model.of(start, known.classes), known.noise, 11)
+                    trainer = Trainer(start, known.noise, 11)
                 index, counts, _ = token_indices(own, known)
                 runs = class_runs(index, counts, known.classes)
                 for _ in range(passes):
@@ -176,7 +193,7 @@ def training_runs(docs: DataFrame, head, start, passes: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([trainer.tokens], pa.int64()),
-                    pa.array([trainer.model.flat().astype(np.float64)], pa.list_(pa.float64())),
+                    pa.array([trainer.state().astype(np.float64)], pa.list_(pa.float64())),
                 ],
                 ["tokens", "flat"],
             )
@@ -185,7 +202,7 @@ def training_runs(docs: DataFrame, head, start, passes: int) -> DataFrame:
 
 
 def averaged(runs: DataFrame, start: np.ndarray) -> np.ndarray:
-    """The mean of the tasks' parameters, weighted by their tokens, in a tree of Spark tasks."""
+    """The mean of the tasks' states, weighted by their tokens, in a tree of Spark tasks."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, weight = None, 0
@@ -329,9 +346,9 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
     share = min(1.0, WARM_TEXTS / max(int(sums["texts"]), 1))
     sample = training.filter(F.pmod("_k1", F.lit(1_000_000)) < math.ceil(share * 1_000_000)).coalesce(1)
-    start = Model.start(own.noise).flat()
+    start = Trainer.start(own.noise)
     warm = averaged(training_runs(sample, head, start, WARM_PASSES), start)
-    model = averaged(training_runs(training, head, warm, 1), warm)
+    model = np.split(averaged(training_runs(training, head, warm, 1), warm), 2)[0]
 
     scored = stage(partial_scores(rows, head, model), "lm-partial")
     # Each row gives its tail tokens and one mark, by which repeated rows are told apart.
