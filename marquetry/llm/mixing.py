@@ -14,6 +14,8 @@ from .common import whole_row
 
 #: Hex digits of the digest that make the uniform number: 52 bits, exact as a double.
 DIGITS = 13
+#: Rates above are drawn in equal parts of at most as much, as exp(-rate) loses bits from about 708 on.
+PART_RATE = 700.0
 
 
 def uniform(*parts: Column) -> Column:
@@ -49,7 +51,7 @@ def source_rates(
     source: str,
     text: str,
 ) -> DataFrame:
-    """For each source: its characters, mean repetition ``rate`` and ``steps``.
+    """For each source: its characters, mean repetition ``rate``, the ``parts`` it is drawn in, ``steps`` of a part.
 
     The rate makes the expected characters of a source its share of ``epochs`` times
     all characters. Without ``weights`` all sources that have text weigh the same;
@@ -71,7 +73,19 @@ def source_rates(
         F.col("_weight") * F.lit(float(epochs)) * F.col("_all") / F.col("_weights") / F.col("_chars"),
     ).otherwise(0.0)
     rated = weighed.crossJoin(F.broadcast(totals)).select("_source", "_chars", rate.alias("_rate"))
-    return rated.withColumn("_steps", poisson_steps(F.col("_rate")))
+    parts = F.greatest(F.ceil(F.col("_rate") / PART_RATE), F.lit(1)).cast("int")
+    split = rated.withColumn("_parts", parts)
+    return split.withColumn("_steps", poisson_steps(F.col("_rate") / F.col("_parts")))
+
+
+def poisson_count(seed: int, name: Column, parts: Column, steps: Column) -> Column:
+    """The sum of ``parts`` independent draws from the distribution ``steps``, which is Poisson again."""
+    first = F.array(uniform(F.lit(str(seed)), name))
+    more = F.transform(
+        F.sequence(F.lit(2), parts), lambda part: uniform(F.lit(str(seed)), name, F.concat(F.lit("part"), part))
+    )
+    drawn = F.when(parts > 1, F.concat(first, more)).otherwise(first)
+    return F.aggregate(drawn, F.lit(0), lambda done, u: done + F.size(F.filter(steps, lambda s: s <= u)))
 
 
 def mix_sources(
@@ -87,7 +101,8 @@ def mix_sources(
 
     A document is repeated k times, k drawn from the Poisson distribution whose mean
     is the repetition rate of its source, by inverting it at a number hashed from
-    seed and document id. Returns ``row`` (all columns as a struct), ``copy`` from 1,
+    seed and document id; a large mean is the sum of draws of equal parts (``PART_RATE``).
+    Returns ``row`` (all columns as a struct), ``copy`` from 1,
     and ``order_key``; sorted by it the rows are in a random order that depends on
     seed, id and copy only. They are dealt to partitions by another hash and sorted
     within them, so reading the partitions one after another is a shuffle, too.
@@ -102,11 +117,11 @@ def mix_sources(
     rows = docs.select(
         whole_row(docs).alias("row"), F.col(source).alias("_doc_source"), name.alias("_id")
     )
-    drawn = uniform(F.lit(str(seed)), F.col("_id"))
+    count = poisson_count(seed, F.col("_id"), F.col("_parts"), F.col("_steps"))
     # The rates are a staged table of one row per source: its size is known to the
     # planner, which broadcasts it only below the session's threshold.
     counted = rows.join(rates, F.col("_doc_source").eqNullSafe(F.col("_source"))).select(
-        "row", "_id", F.size(F.filter("_steps", lambda s: s <= drawn)).alias("_count")
+        "row", "_id", count.alias("_count")
     )
     copies = counted.filter("_count > 0").select(
         "row", "_id", F.explode(F.sequence(F.lit(1), F.col("_count"))).alias("copy")

@@ -233,3 +233,19 @@ def test_chat_empty_and_digests(spark):
     assert (got[1]["n_turns"], got[1]["loss_chars"]) == (6, len(loss))
     assert got[1]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
     assert got[3]["loss_sha256"] == hashlib.sha256(b"").hexdigest() and got[3]["loss_chars"] == 0
+
+
+def test_mixing_large_rates(spark):
+    """Rates beyond the range of exp(-rate) still give Poisson counts."""
+    rates = {"a": 700.0, "b": 750.0, "c": 5_000.0}
+    docs = [(i, "x", name) for i, name in enumerate(n for n in rates for _ in range(200))]
+    rows = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    counts = mixing.mix_sources(rows, weights=rates, epochs=sum(rates.values()) / 3).groupBy(
+        F.col("row.doc_id"), F.col("row.source").alias("source")
+    )
+    got = counts.count().groupBy("source").agg(F.avg("count").alias("mean"), F.variance("count").alias("var")).collect()
+    assert len(got) == 3
+    for r in got:
+        rate = rates[r["source"]]
+        assert abs(r["mean"] - rate) < 5 * (rate / 200) ** 0.5
+        assert 0.6 * rate < r["var"] < 1.5 * rate
