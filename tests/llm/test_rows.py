@@ -249,3 +249,21 @@ def test_mixing_large_rates(spark):
         rate = rates[r["source"]]
         assert abs(r["mean"] - rate) < 5 * (rate / 200) ** 0.5
         assert 0.6 * rate < r["var"] < 1.5 * rate
+
+
+def test_chat_digests_come_from_the_examples(spark, monkeypatch):
+    rows = spark.createDataFrame(
+        [*TURNS, (None, 90, "user", "q"), (None, 91, "assistant", "reply of no id")],
+        "conv_id long, turn long, role string, text string",
+    )
+    got = {r["conv_id"]: r for r in chat.conversation_digests(rows).collect()}
+    loss = "".join(t[3] or "" for t in TURNS if t[0] is None and t[2] == "assistant") + "reply of no id"
+    assert got[None]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+    whole = chat.prefix_examples
+    for fault in (
+        lambda f, conv="conv_id": whole(f, conv).filter("example_no > 0"),
+        lambda f, conv="conv_id": whole(f, conv).withColumn("context_segments", F.col("context_segments") - 1),
+    ):
+        monkeypatch.setattr(chat, "prefix_examples", fault)
+        with pytest.raises(Exception, match="examples do not fit"):
+            chat.conversation_digests(rows).collect()
