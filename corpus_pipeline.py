@@ -30,7 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages."""
-    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"), short_texts=True)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Benchmark passages in documents, by SimHash of windows as long as the items."""
+"""Benchmark passages in documents, by SimHash of windows as long as the items or the text."""
 
 from __future__ import annotations
 
@@ -145,9 +145,17 @@ def needed(shingle_count: int) -> int:
     return int(np.ceil(2 * SIMILARITY / (1 + SIMILARITY) * shingle_count - 1e-9))
 
 
-def windows_of(text: str | None, known: WordHashes, table: np.ndarray, sizes: list[int]) -> list[tuple]:
+def needed_whole(own: int, shingle_count: int) -> int:
+    """Shingles that a text of ``own`` shingles must share with a longer item to be similar enough."""
+    return int(np.ceil(SIMILARITY / (1 + SIMILARITY) * (own + shingle_count) - 1e-9))
+
+
+def windows_of(
+    text: str | None, known: WordHashes, table: np.ndarray, sizes: list[int], short_texts: bool = False
+) -> list[tuple]:
     """The windows of a text that can be similar to an item: start, size, shingles, fingerprint.
 
+    With ``short_texts`` a text with fewer words than an item is its window as a whole.
     The filter only leaves out windows that provably share too few shingles with all
     items of their size.
     """
@@ -159,7 +167,12 @@ def windows_of(text: str | None, known: WordHashes, table: np.ndarray, sizes: li
         width = width_of(size)
         hashes, at = by_width[width], any_of[width]
         count = size - width + 1
-        if len(at) < needed(count) or len(words) < size:
+        if len(words) < size:
+            least = needed_whole(len(hashes), count)
+            if short_texts and least <= len(hashes) and len(at) >= least and is_set(table, slots(hashes[at], size)).sum() >= least:
+                out.append((0, size, hashes.view(np.int64), fingerprint(hashes)))
+            continue
+        if len(at) < needed(count):
             continue
         hit = np.zeros(len(hashes) + 1, np.int64)
         hit[at + 1] = is_set(table, slots(hashes[at], size))
@@ -170,7 +183,7 @@ def windows_of(text: str | None, known: WordHashes, table: np.ndarray, sizes: li
     return out
 
 
-def window_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
+def window_rows(docs: DataFrame, items: DataFrame, short_texts: bool = False) -> DataFrame:
     """The windows of all texts (columns doc_id, _k1, _k2, _text) that can match an item."""
     context = docs.sparkSession.sparkContext
     # Distinct lengths of the items: no more than words in the longest one.
@@ -186,7 +199,7 @@ def window_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
             first, second = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for i in range(len(batch)):
                 text = batch.column(3)[i].as_py()
-                for window in windows_of(text, known, table.value, sizes):
+                for window in windows_of(text, known, table.value, sizes, short_texts):
                     ids.append(i)
                     rows.append((first[i], second[i], *window))
                 if len(rows) * 64 > CHUNK_CHARS or i == len(batch) - 1:
@@ -239,14 +252,16 @@ def benchmark_matches(
     doc_id: str = "doc_id",
     item_id: str = "item_id",
     item_text: str = "text",
+    short_texts: bool = False,
 ) -> DataFrame:
     """Documents that hold a benchmark item: one row per text and item.
 
     Columns: doc_id, a row key, item_id, ``similarity`` of the best window, ``start``
     (the first word of that window, the earliest at ties) and ``n_windows``, the number
     of windows with weighted similarity of five-word shingles of 0.8 or more. A
-    window has as many words as the item; words are runs of letters and digits in
-    lower case, so case and punctuation do not matter. An item of fewer than five
+    window has as many words as the item; with ``short_texts`` a text of fewer words
+    is one window as a whole, so items cut short are found, too. Words are runs of
+    letters and digits in lower case, so case and punctuation do not matter. An item of fewer than five
     words is one shingle; items without a word, and null or empty texts on either
     side, match nothing. Items that are equal are all reported, as are documents
     that are equal; rows equal in id and text count once. Empty tables give no rows.
@@ -255,7 +270,7 @@ def benchmark_matches(
     items = item_rows(benchmark, item_id, item_text)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_text"))
     rows = rows.select("doc_id", *row_key(F.col("doc_id"), F.col("_text")), "_text")
-    windows = stage(window_rows(rows, items).distinct(), "windows")
+    windows = stage(window_rows(rows, items, short_texts).distinct(), "windows")
     index = items.select("item_key", "size", "item_fp", F.explode("blocks").alias("block"))
     asked = windows.drop("window").withColumn("block", F.explode(block_keys(F.col("window_fp"))))
     # The planner does not see how many rows an item becomes, so the join is said to be by merging.
@@ -279,8 +294,11 @@ def benchmark_matches(
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id", short_texts: bool = False
+) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; columns stay, whatever their names."""
-    found = stage(benchmark_matches(docs, benchmark, text, doc_id).select("_k1", "_k2").distinct(), "contaminated")
+    matches = benchmark_matches(docs, benchmark, text, doc_id, short_texts=short_texts)
+    found = stage(matches.select("_k1", "_k2").distinct(), "contaminated")
     rows = docs.select(whole_row(docs).alias("_row"), *row_key(F.col(doc_id), F.col(text)))
     return unpack(rows.join(found, ["_k1", "_k2"], "left_anti"), docs.columns)

@@ -136,7 +136,7 @@ def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.benchmark_matches(
-        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), short_texts=True
     )
     return found.select("doc_id", "item_id", "similarity", "start", "n_windows")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from marquetry.llm import decontaminate as dc
@@ -156,3 +157,24 @@ def test_block_keys_meet_within_the_radius(spark):
     assert (a ^ b).bit_count() == dc.RADIUS
     row = spark.createDataFrame([tuple(signed([b]))], "b long").select(dc.block_keys(F.col("b"))).first()
     assert len(set(row[0]) & set(dc.near_blocks(signed([a])[0]).tolist())) == 1
+
+
+def test_items_cut_short_are_found_in_short_texts(spark):
+    random.seed(9)
+    own = [f"w{i}" for i in random.sample(range(1000), 50)]
+    docs = [" ".join(own[:n]) for n in (49, 46, 42, 41, 10)] + [" ".join(own[6:]), " ".join(own[:22] + ["x"] + own[23:46])]
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(own)), (2, " ".join(own[:48]))], "item_id long, text string")
+    found = dc.benchmark_matches(rows, benchmark, short_texts=True).collect()
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in found}
+    want = {}
+    for i, text in enumerate(docs):
+        a = [tuple(text.split()[j : j + 5]) for j in range(len(text.split()) - 4)]
+        for item, n in ((1, 50), (2, 48)):
+            s = weighted(a, [tuple(own[j : j + 5]) for j in range(n - 4)])
+            if s >= 0.8 and len(text.split()) < n:
+                want[i, item] = s
+    assert {k: v for k, v in got.items() if k in want} == pytest.approx(want)
+    assert want[1, 1] == pytest.approx(42 / 46) and set(got) - set(want) <= {(0, 2)}
+    left = {r["doc_id"] for r in dc.drop_contaminated(rows, benchmark, short_texts=True).collect()}
+    assert left == set(range(len(docs))) - {d for d, _ in got}
