@@ -17,9 +17,11 @@ from .common import map_texts, row_key, unpack, whole_row
 BUCKETS = 1 << 14
 #: About so many labelled rows are used to fit the letter model; all other counts cover all rows.
 TRAIN_ROWS = 20_000
-#: Labels on fewer than this share of the labelled rows are not languages of the corpus,
-#: so there are at most 1,000.
-LEAST_SHARE = 0.001
+#: A label is a language of the corpus on so many rows, however large that is, or in a small
+#: corpus on this share of the labelled rows.
+LEAST_ROWS, LEAST_SHARE = 100, 0.001
+#: About so many rows of each language at least are used to fit its letters, if there are as many.
+LEAST_TRAIN_ROWS = 500
 #: Runs of letters that count in full; the evidence of a longer text is scaled down to
 #: as many, since neighbouring runs are not independent.
 FULL_RUNS = 200
@@ -29,6 +31,11 @@ DECLARED_RIGHT, SUFFIX_RIGHT = 0.9, 0.6
 HOST_WEIGHT, SUFFIX_WEIGHT = 20.0, 50.0
 #: A text is rejected if its best language is less likely than this, or if it has no letter.
 LEAST_POSTERIOR = 0.5
+#: A text is of no known language if its mean log-likelihood a run is so many standard errors
+#: (of its runs, ``FULL_RUNS`` at most) below what each language has on text that it was not fitted to.
+LEAST_FIT = -18.0
+#: No language is held to a smaller standard deviation, as one with hardly any text would have.
+LEAST_SPREAD = 0.1
 
 
 def run_codes(text: str) -> np.ndarray:
@@ -76,19 +83,22 @@ def declared_of(label: Column) -> Column:
     return F.nullif(F.regexp_extract(F.lower(F.trim(label)), r"^([a-z]{2,8})", 1), F.lit(""))
 
 
-def languages_of(rows: DataFrame) -> tuple[list[str], int]:
-    """The languages that rows declare often enough, sorted, and the labelled rows."""
+def languages_of(rows: DataFrame) -> dict[str, int]:
+    """The languages that rows declare often enough, sorted, with their rows."""
     counts = rows.filter("_declared IS NOT NULL").groupBy("_declared").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    kept = counts.filter(F.col("n") >= LEAST_SHARE * total).select("_declared").collect()
-    return sorted(r["_declared"] for r in kept), int(total)
+    kept = counts.filter((F.col("n") >= LEAST_SHARE * total) | (F.col("n") >= LEAST_ROWS)).collect()
+    return dict(sorted((r["_declared"], r["n"]) for r in kept))
 
 
-def fit_letters(rows: DataFrame, languages: list[str], labelled: int, train_rows: int) -> np.ndarray:
+def fit_letters(rows: DataFrame, languages: dict[str, int], train_rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Log-likelihoods, buckets by languages, from a sample of ``train_rows`` labelled rows or so.
 
-    The sample is picked by a hash of the row; partial counts come from the tasks and
-    are added up by Spark, so a fixed number of numbers arrives here.
+    Rare languages are sampled more densely (``LEAST_TRAIN_ROWS``). The sample is
+    picked by a hash of the row; partial counts come from the tasks and are added up
+    by Spark, so a fixed number of numbers arrives here. The second array has, by
+    language, mean and standard deviation of the log-likelihood of a run of its
+    own text, with that run left out of the counts.
     """
     places = {name: i for i, name in enumerate(languages)}
 
@@ -103,25 +113,42 @@ def fit_letters(rows: DataFrame, languages: list[str], labelled: int, train_rows
             [pa.array(lang), pa.array(bucket), pa.array(counts[lang, bucket])], ["lang", "bucket", "n"]
         )
 
-    share = min(1.0, train_rows / max(labelled, 1))
-    sample = rows.filter(F.col("_declared").isin(languages)).filter(
-        F.pmod(F.col("_k1"), F.lit(1_000_000)) < int(share * 1_000_000)
+    overall = train_rows / max(sum(languages.values()), 1)
+    shares = {x: min(1.0, max(overall, LEAST_TRAIN_ROWS / max(n, 1))) for x, n in languages.items()}
+    limits = F.create_map(*[F.lit(v) for x, share in shares.items() for v in (x, int(share * 1_000_000))])
+    sample = rows.filter(F.col("_declared").isin(list(languages))).filter(
+        F.pmod(F.col("_k1"), F.lit(1_000_000)) < limits[F.col("_declared")]
     )
     parts = sample.select("_declared", "_text").mapInArrow(run, "lang bigint, bucket bigint, n bigint")
     found = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.full((BUCKETS, len(languages)), 0.5)
-    counts[found["bucket"].to_numpy(np.int64), found["lang"].to_numpy(np.int64)] += found["n"].to_numpy(float)
-    return np.log(counts / counts.sum(axis=0)).astype(np.float32)
+    seen = np.zeros((BUCKETS, len(languages)))
+    seen[found["bucket"].to_numpy(np.int64), found["lang"].to_numpy(np.int64)] = found["n"].to_numpy(float)
+    counts = seen + 0.5
+    return np.log(counts / counts.sum(axis=0)).astype(np.float32), spread_of(seen)
 
 
-def text_likelihoods(rows: DataFrame, model: np.ndarray) -> DataFrame:
-    """``letters`` and ``scores``, a scaled log-likelihood per language, of each whole text."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def spread_of(seen: np.ndarray) -> np.ndarray:
+    """Mean and standard deviation, by language, of the log-likelihood of each run without itself."""
+    total = np.maximum(seen.sum(axis=0), 1)
+    others = np.log((np.maximum(seen - 1, 0) + 0.5) / (total - 1 + 0.5 * len(seen)))
+    weight = seen / total
+    mean = (weight * others).sum(axis=0)
+    return np.stack([mean, np.maximum(np.sqrt((weight * (others - mean) ** 2).sum(axis=0)), LEAST_SPREAD)])
+
+
+def text_likelihoods(rows: DataFrame, model: np.ndarray, spread: np.ndarray) -> DataFrame:
+    """``letters``, ``scores`` (a scaled log-likelihood per language) and ``fit`` of each whole text.
+
+    ``fit`` is how many standard errors the text is above what its nearest language
+    has on its own text, below zero if it is less likely.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((model, spread))
 
     def compute(texts: list[str]) -> list:
-        table = shared.value
+        table, (mean, deviation) = shared.value
         scores = np.zeros((len(texts), table.shape[1]))
         counts = np.zeros(len(texts), np.int64)
+        fits = np.zeros(len(texts))
         for i, text in enumerate(texts):
             codes = run_codes(text)
             if len(codes):
@@ -130,10 +157,11 @@ def text_likelihoods(rows: DataFrame, model: np.ndarray) -> DataFrame:
                 used = np.flatnonzero(often) if len(codes) < BUCKETS else slice(None)
                 total = often[used] @ table[used]
                 scores[i] = total * min(1.0, FULL_RUNS / len(codes))
-        return [counts, list(scores)]
+                fits[i] = ((total / len(codes) - mean) / deviation).max() * min(len(codes), FULL_RUNS) ** 0.5
+        return [counts, list(scores), fits]
 
     keep = ["doc_id", "_k1", "_k2", "_declared", "_host"]
-    return map_texts(rows, keep, "_text", compute, "letters bigint, scores array<double>")
+    return map_texts(rows, keep, "_text", compute, "letters bigint, scores array<double>, fit double")
 
 
 def evidence(value: Column, languages: list[str], right: float) -> Column:
@@ -219,7 +247,8 @@ def identify_languages(
     rows are rejected with null language. Declared values are cut to their first part
     (``en-US`` is ``en``); unknown and null ones say nothing, as does a null address.
     A text without letters (null and empty ones too) is rejected, whatever else is
-    declared. Ties go to the first language in the alphabet; repeated rows are
+    declared, and so is one whose letters fit none of the languages (``LEAST_FIT``):
+    the posterior only weighs these against each other. Ties go to the first language in the alphabet; repeated rows are
     treated alike; an empty table gives no rows; other columns are not read.
     """
     picked = docs.select(
@@ -229,7 +258,8 @@ def identify_languages(
         host_of(F.col(address) if isinstance(address, str) else address).alias("_host"),
     )
     rows = picked.select("*", *row_key(F.col("doc_id"), F.col("_text")))
-    languages, labelled = languages_of(rows)
+    found = languages_of(rows)
+    languages = list(found)
     if not languages:
         none = F.lit(None).cast("string")
         return rows.select(
@@ -237,8 +267,8 @@ def identify_languages(
             none.alias("text_language"), F.lit(False).alias("kept"),
         )
     n = len(languages)
-    model = fit_letters(rows, languages, labelled, train_rows)
-    scored = stage(text_likelihoods(rows, model), "lang-scores")
+    model, spread = fit_letters(rows, found, train_rows)
+    scored = stage(text_likelihoods(rows, model, spread), "lang-scores")
     priors = host_priors(scored, n)
     joined = scored.join(priors, "_host", "left")
     suffix = suffix_of(F.col("_host"))
@@ -258,7 +288,9 @@ def identify_languages(
         F.element_at(names, best(F.col("_fused"))).alias("language"),
         "posterior",
         F.when(F.col("letters") > 0, F.element_at(names, best(F.col("scores")))).alias("text_language"),
-        ((F.col("letters") > 0) & (F.col("posterior") >= LEAST_POSTERIOR)).alias("kept"),
+        (
+            (F.col("letters") > 0) & (F.col("posterior") >= LEAST_POSTERIOR) & (F.col("fit") >= LEAST_FIT)
+        ).alias("kept"),
     )
 
 

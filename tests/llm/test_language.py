@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -98,3 +100,37 @@ def test_language_awkward(spark):
     assert lang.identify_languages(empty(spark)).collect() == []
     unlabelled = spark.createDataFrame([(1, "words", None, None, 1)], SCHEMA)
     assert [tuple(r)[3:] for r in lang.identify_languages(unlabelled).collect()] == [(None, None, None, False)]
+
+
+def test_texts_of_other_languages_are_rejected(spark):
+    random.seed(1)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source")
+
+    def words(letters: str, n: int, k: int) -> str:
+        return " ".join("".join(random.choices(letters, k=k)) for _ in range(n))
+
+    other = {
+        -1: "Это обычный текст на русском языке, который не относится ни к одному из объявленных языков. " * 4,
+        -2: "这是一个中文文本它不属于任何已声明的语言应该被拒绝我们用它来测试模型的拒绝能力" * 5,
+        -3: "To jest zwykły tekst w języku polskim, który nie należy do żadnego z zadeklarowanych języków i powinien "
+        "zostać odrzucony przez model, ponieważ wcale do nich nie pasuje. " * 3,
+        -4: words("bcdfghjklmnpqrstvwxz", 100, 6),
+        -5: words("0123456789abcdef", 40, 32),
+    }
+    rows = [(i, t, lang_, "src1") for i, t in other.items() for lang_ in (None, "en")]
+    more = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = lang.identify_languages(docs.unionByName(more)).collect()
+    assert not any(r["kept"] for r in got if r["doc_id"] < 0) and len(got) == docs.count() + 10
+    assert all(r["kept"] for r in got if r["doc_id"] >= 0)
+
+
+def test_a_rare_language_is_a_language(spark):
+    """On under a thousandth of the rows, but on LEAST_ROWS of them; sampled densely enough to be fitted."""
+    names = "doc_id long, text string, lang string, source string"
+    base = spark.range(150_000).select(
+        F.col("id").alias("doc_id"), F.lit("the and of that with from this have been were").alias("text"),
+        F.lit("en").alias("lang"), F.lit("a").alias("source"),
+    )
+    rare = [(-1 - i, "der die das und nicht mit von den auch sich", "de", "b") for i in range(lang.LEAST_ROWS)]
+    got = lang.identify_languages(base.unionByName(spark.createDataFrame(rare, names)), train_rows=1_000)
+    assert {(r["language"], r["kept"]) for r in got.filter("doc_id < 0").collect()} == {("de", True)}
