@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import duckdb
@@ -267,3 +268,27 @@ def test_chat_digests_come_from_the_examples(spark, monkeypatch):
         monkeypatch.setattr(chat, "prefix_examples", fault)
         with pytest.raises(Exception, match="examples do not fit"):
             chat.conversation_digests(rows).collect()
+
+
+def test_revealing_words_far_away_and_elsewhere(spark):
+    """A name 100 characters off, an id with digits, two contexts only, and documents without the entity."""
+    random.seed(3)
+
+    def filler(n: int) -> str:
+        return " ".join(f"pad{random.randrange(300)}" for _ in range(n))
+
+    texts = [f"zorro wrote {filler(40)} to z@x.org for AB1234 {filler(9)}" for _ in range(4)]
+    texts += [f"by {filler(20)} ulla {filler(30)} at u@y.net {filler(12)}" for _ in range(2)]
+    texts += [f"by a man {filler(35)} wrote this for you to look at" for _ in range(120)]
+    texts += ["here is zorro alone, zorro."]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.find_personal_data(rows).collect()}
+
+    def marked(i: int) -> set:
+        return {(t["verdict"], texts[i][t["start"] : t["end"]]) for t in got[i]["terms"]}
+
+    for i in range(4):
+        assert {w for _, w in marked(i)} == {"zorro", "AB1234"} and ("remove", "AB1234") in marked(i)
+    assert marked(4) == marked(5) == {("generalise", "ulla")}
+    last = len(texts) - 1
+    assert [t["start"] for t in got[last]["terms"]] == [8, 21] and not any(got[i]["terms"] for i in range(6, last))
