@@ -345,25 +345,29 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     head = spark.sparkContext.broadcast(vars(own))
 
     share = min(1.0, WARM_TEXTS / max(int(sums["texts"]), 1))
-    sample = training.filter(F.pmod("_k1", F.lit(1_000_000)) < math.ceil(share * 1_000_000)).coalesce(1)
+    picked = training.filter(F.pmod("_k1", F.lit(1_000_000)) < math.ceil(share * 1_000_000))
+    # All tasks scan; the few texts then go to one task, in an order of their own.
+    sample = picked.repartition(1).sortWithinPartitions("_k1", "_k2")
     start = Trainer.start(own.noise)
     warm = averaged(training_runs(sample, head, start, WARM_PASSES), start)
     model = np.split(averaged(training_runs(training, head, warm, 1), warm), 2)[0]
 
     scored = stage(partial_scores(rows, head, model), "lm-partial")
-    # Each row gives its tail tokens and one mark, by which repeated rows are told apart.
-    mark = F.map_from_arrays(F.array(F.lit(" ")), F.array(F.lit(1).cast("long")))
-    pairs = scored.select("_k1", "_k2", F.explode(F.map_concat("tail", mark)).alias("token", "times"))
+    pairs = scored.select("_k1", "_k2", F.explode("tail").alias("token", "times"))
     log = F.log10(F.coalesce("c", F.lit(0)) + ADDED)
-    is_mark = F.col("token") == " "
+    said = pairs.join(counts, "token", "left").select(
+        "_k1",
+        "_k2",
+        (F.col("times") * log).alias("logs"),
+        F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0).alias("known"),
+        F.lit(0).alias("rows"),
+    )
+    # Each row gives one mark besides its tail tokens, by which repeated rows are told apart.
+    marks = scored.select("_k1", "_k2", F.lit(0.0).alias("logs"), F.lit(0).cast("long").alias("known"), F.lit(1).alias("rows"))
     tails = (
-        pairs.join(counts, "token", "left")
+        said.unionByName(marks)
         .groupBy("_k1", "_k2")
-        .agg(
-            F.sum(F.when(is_mark, 0.0).otherwise(F.col("times") * log)).alias("logs"),
-            F.sum(F.when(~is_mark & F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("known"),
-            F.sum(F.when(is_mark, 1).otherwise(0)).alias("rows"),
-        )
+        .agg(F.sum("logs").alias("logs"), F.sum("known").alias("known"), F.sum("rows").alias("rows"))
     )
     base_norm = math.log10(total + ADDED * (distinct + 1))
     rest_norm = math.log10(own.outside + ADDED * (distinct - (own.classes - 1) + 1))

@@ -174,3 +174,19 @@ def test_lm_probabilities_sum_to_one():
         words = np.arange(6)
         total = (10 ** scorer.log10(np.full(6, near), np.full(6, far), words)).sum()
         assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_the_warm_up_sample_is_picked_by_all_tasks(spark, monkeypatch):
+    """The scan under the sample keeps its tasks: there is a shuffle between it and the one training task."""
+    plans, own = [], lm.training_runs
+
+    def seen(docs, head, start, passes):
+        plans.append((passes, docs._jdf.queryExecution().executedPlan().toString()))
+        return own(docs, head, start, passes)
+
+    monkeypatch.setattr(lm, "training_runs", seen)
+    rows = [(i, f"alpha beta gamma{i % 3}") for i in range(40)] + [(40, "one two"), (40, "one two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert lm.score_texts(docs).count() == len(rows)
+    (warm,) = [plan for passes, plan in plans if passes == lm.WARM_PASSES]
+    assert "Coalesce" not in warm and "SinglePartition" in warm
