@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, lines, lm, mixing, near_dups, pii, quality, tokens
+from . import chat, decontaminate, infill, language, lines, lm, mixing, near_dups, pii, quality, search, tokens, toxicity
 from .common import read_table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -186,3 +186,77 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = tokens.read_ranks(VOCABULARY)
     return tokens.count_tokens(read_table(spark, sf_dir, "documents"), pieces)
+
+
+LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+TERMS = f"regexp_extract_all({LOWER.format('text')}, '{search.TERM}')"
+
+
+@query(
+    f"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS r, doc_id, {TERMS} AS terms FROM documents
+    ), corpus AS (
+        SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM docs
+    ), asked AS (
+        SELECT q, item_id, term, count(*) AS repeats
+        FROM (SELECT row_number() OVER () AS q, item_id, unnest({TERMS}) AS term FROM benchmark)
+        GROUP BY ALL
+    ), held AS (
+        SELECT r, doc_id, n, term, count(*) AS tf
+        FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs)
+        GROUP BY ALL
+    ), weights AS (
+        SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+        FROM held, corpus GROUP BY term, n_docs
+    ), scored AS (
+        SELECT q, item_id, r, doc_id,
+            sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+        FROM asked JOIN weights USING (term) JOIN held USING (term), corpus
+        GROUP BY q, item_id, r, doc_id
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+        FROM scored WHERE score > 0
+    )
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+    """
+)
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    """
+    WITH hashed AS (
+        SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h,
+            regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units
+        FROM documents
+    ), cut AS (
+        SELECT *, len(units)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS c1,
+            ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS c2,
+            CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+                WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM hashed
+    ), parts AS (
+        SELECT *, array_to_string(units[1:least(c1, c2)], '') AS prefix,
+            array_to_string(units[least(c1, c2) + 1:greatest(c1, c2)], '') AS middle,
+            array_to_string(units[greatest(c1, c2) + 1:], '') AS suffix
+        FROM cut
+    )
+    SELECT doc_id, n, form,
+        CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+        sha256(text) AS restored_sha256
+    FROM parts
+    """
+)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.infill_digests(read_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
