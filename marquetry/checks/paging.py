@@ -14,9 +14,11 @@ from ..operators.pages import (
     extract_gross_table,
     extract_lookup,
     extract_ranked_list,
+    in_input_order,
     page_layout,
     rejects,
 )
+from ..operators.rank import dist_row_number
 from ..sources.manifest import Sites
 from .registry import check, table
 
@@ -104,7 +106,7 @@ def extract_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def revenue_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Parts as yearly and chart revenue tables, by page number."""
     yearly = F.floor(F.col("p_partkey") / PAGE_ROWS) % 2 == 0
-    name = F.concat("p_name", F.lit(" &amp; co&eacute; &ndash; &#x41;&lt;"))
+    name = F.concat("p_name", F.lit(" &amp; co&eacute; &ndash; &#x41;&lt; Caf&eacute Luna &ampx"))
     gross = F.concat(F.lit("$"), F.format_number(F.col("p_partkey") * 1234567, 0))
     place = F.format_number(F.col("p_partkey") + 1, 0)
     link = F.concat(F.lit('<a class="x" href="/title/tt'), "p_partkey", F.lit('/?ref=1">'), name, F.lit("</a>"))
@@ -116,7 +118,9 @@ def revenue_pages(spark: SparkSession, sf: str) -> DataFrame:
         end = F.when(F.col("p_partkey") % 3 != 0, F.lit("</tr>")).otherwise(F.lit(""))
         return F.concat(F.lit("<tr>"), *opened, end)
 
-    filler = F.lit("<span>-</span>")
+    # A table within a cell is the cell's, also where that has no end tag.
+    inner = F.lit("<span>-</span><table><tr><td>in</td><td>$1</td></tr><tr><td>2<table><td>x</table></table>")
+    filler = F.when(F.col("p_partkey") % 400 == 0, inner).otherwise(F.lit("<span>-</span>"))
     row = F.when(yearly, cells(place, name, gross, filler)).otherwise(
         cells(place, link, gross, filler, filler, filler, filler, (F.col("p_size") + 1900).cast("string"))
     )
@@ -138,7 +142,7 @@ def revenue_pages(spark: SparkSession, sf: str) -> DataFrame:
     SELECT CASE page % 2 WHEN 0 THEN 'NA' ELSE 'tt' || p_partkey END AS tconst,
            CASE page % 2 WHEN 0 THEN -1 ELSE p_partkey + 1 END AS rnk,
            CASE page % 2 WHEN 0 THEN 'NA' ELSE 'ww_top_lifetime_gross' END AS type,
-           p_name || ' & coé – A<' AS movie_name,
+           p_name || ' & coé – A< Café Luna &x' AS movie_name,
            CAST(CASE page % 2 WHEN 0 THEN 1977 + page % 40 ELSE 1900 + p_size END AS BIGINT) AS movie_year,
            p_partkey * 1234567 AS box_office
     FROM p""")
@@ -150,7 +154,7 @@ def extract_table_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def extract_lookup_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     row = F.concat(
         F.lit("<tr><th>"), "c_custkey", F.lit("</th><td>\n <a href='#'>"), "c_name",
-        F.lit(" </a></td><td>x</td><td> c"), "c_custkey", F.lit("\n</td></tr>\n<tr></tr>"),
+        F.lit(" </a></td><td>x<table class='wikitable'><tr><td>y</td><td>z</table></td><td> c"), "c_custkey", F.lit("\n</td></tr>\n<tr></tr>"),
     )
     listed = on_pages(table(spark, sf, "customer"), "c_custkey", row, "\n")
     html = F.concat(
@@ -170,9 +174,9 @@ def extract_lookup_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
                     WHEN 1 THEN 'india/top-rated-' || page || '-movies/'
                     ELSE 'search/title/?release_date=,9999-12-31&moviemeter=' || page END AS address,
            CASE page % 10 WHEN 3 THEN 'no embedded data' WHEN 7 THEN 'embedded data is not readable'
-                ELSE 'no list found' END AS reason
+                ELSE 'no list found' END AS reason, page AS position
     FROM (SELECT p_partkey // 50 AS page FROM part) WHERE page % 10 IN (3, 5, 7)
-    UNION ALL SELECT url, 'no embedded data' FROM pages""")
+    UNION ALL SELECT url, 'no embedded data', 1000000000 + page_id FROM pages""")
 def extract_rejects(spark: SparkSession, sf: str) -> DataFrame:
     html = (
         F.when(F.col("page") % 10 == 3, F.replace("html", F.lit("__NEXT_DATA__"), F.lit("OTHER")))
@@ -180,13 +184,26 @@ def extract_rejects(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("page") % 10 == 5, F.regexp_replace("html", '"(edges|items|titleListItems)":', '"new":'))
         .otherwise(F.col("html"))
     )
-    built = list_pages(spark, sf).select("url", html.alias("html"))
-    given = table(spark, sf, "pages").select("url", "html")
-    return rejects(built.union(given), SITES).select(
-        F.replace("url", F.lit(SITES.lists), F.lit("")).alias("address"), "reason"
+    built = list_pages(spark, sf).select("url", html.alias("html"), F.col("page").alias("position"))
+    given = table(spark, sf, "pages").select("url", "html", F.col("page_id") + 1_000_000_000)
+    shuffled = built.union(given).repartition(7, "url")
+    return in_input_order(rejects(shuffled, SITES)).select(
+        F.replace("url", F.lit(SITES.lists), F.lit("")).alias("address"), "reason", "position"
     )
 
 
+@check("""
+    WITH p AS (SELECT *, p_partkey // 50 AS page FROM part WHERE (p_partkey // 50) % 3 = 2),
+         rows AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY p_partkey) AS place FROM p)
+    SELECT page AS position, place, p_name AS movie_name, row_number() OVER (ORDER BY page, place) AS ordinal FROM rows""")
+def extract_in_input_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of shuffled pages, numbered in the order of the input."""
+    pages = list_pages(spark, sf).filter("page % 3 = 2").withColumnRenamed("page", "position")
+    rows = extract_ranked_list(pages.repartition(7, "url"), SITES)
+    ordered = dist_row_number(rows.select("position", "place", "movie_name"), [F.col("position"), F.col("place")], "ordinal")
+    return ordered.select("position", "place", "movie_name", "ordinal")
+
+
 @check("""
     SELECT page_id, CASE WHEN contains(url, '/en/') THEN split_part(url, '/', -1)
                          ELSE split_part(url, '/', -2) END AS source

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..plans.crew import clustered
 from ..sources.catalog import register_views
-from ..sources.delimited import cast_present, load_all, scan_delimited, table_name
+from ..sources.delimited import cast_present, cast_with_ledger, load_all, scan_delimited, table_name
+from ..sources.layout import write_planned
 from ..sources.manifest import paged_search
 from ..sources.scratch import scratch_path
-from ..sources.tables import read_table, write_table
+from ..sources.tables import data_path, read_table, table_path, write_table
 from .registry import check, table
 
 
@@ -48,6 +49,74 @@ def cast_present_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     return cast_present(text, types)
 
 
+def _spoiled(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as text, with cells that are no numbers, or none of their type."""
+    columns = ("l_orderkey", "l_linenumber", "l_quantity", "l_tax")
+    text = table(spark, sf, "lineitem").select(*[F.col(c).cast("string").alias(c) for c in columns], "l_returnflag")
+    return text.withColumns(
+        {
+            "l_tax": F.when(F.col("l_returnflag") == "A", F.concat(F.lit("n/a "), "l_linenumber")).otherwise(F.col("l_tax")),
+            "l_linenumber": F.when(F.col("l_linenumber") == "7", F.lit("300")).otherwise(F.col("l_linenumber")),
+            "l_quantity": F.when(F.col("l_quantity") == "9.0", F.lit(None)).otherwise(F.col("l_quantity")),
+        }
+    )
+
+
+@check("""
+    SELECT 't_lines' AS table_name, 'l_tax' AS column_name, 'n/a ' || l_linenumber AS raw, count(*) AS cells
+    FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_linenumber
+    UNION ALL SELECT 't_lines', 'l_linenumber', '300', count(*) FROM lineitem WHERE l_linenumber = 7 HAVING count(*) > 0
+    UNION ALL SELECT 'rows', 'all', CAST(count(*) FILTER (l_returnflag = 'A') AS VARCHAR), count(*) FROM lineitem""")
+def cast_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text that became null in a typed table, and what the table itself has."""
+    types = {"l_orderkey": "bigint", "l_linenumber": "tinyint", "l_quantity": "double", "l_tax": "double", "l_none": "int"}
+    rows, ledger = cast_with_ledger(_spoiled(spark, sf), types, "t_lines")
+    whole = rows.agg(
+        F.lit("rows"), F.lit("all"), F.count_if(F.col("l_tax").isNull()).cast("string"), F.count(F.lit(1))
+    )
+    return ledger.union(whole).toDF("table_name", "column_name", "raw", "cells")
+
+
+@check("""
+    WITH total AS (SELECT count(*) AS n FROM lineitem),
+         plan AS (SELECT n, greatest(least(16, n // 1000), 1, CAST(ceil(n / 6000) AS BIGINT)) AS files FROM total),
+         rows AS (SELECT row_number() OVER () - 1 AS i FROM lineitem),
+         sizes AS (SELECT (i * files) // n AS file, count(*) AS n_rows FROM rows, plan GROUP BY 1),
+         per AS (SELECT CAST(ceil(n / files) AS BIGINT) AS per_file FROM plan),
+         limits AS (SELECT CAST(ceil(per_file / ceil(per_file / 2000)) AS BIGINT) AS per_group FROM per)
+    SELECT n_rows, CAST(ceil(n_rows / per_group) AS BIGINT) AS n_groups, least(n_rows, per_group) AS most_in_group,
+           count(*) AS n_files
+    FROM sizes, limits GROUP BY ALL""")
+def planned_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and row groups of the files of a planned table, from their footers; limits scaled down."""
+    root = scratch_path(spark, "lake")
+    lines = table(spark, sf, "lineitem")
+    order = [F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_linenumber")]
+    write_planned(lines, root, "silver", "t_lines", order, width=16, least_group=1000, most_group=2000, most_file=6000)
+    return footers(spark, data_path(spark, table_path(root, "silver", "t_lines"))).groupBy(
+        "n_rows", "n_groups", "most_in_group"
+    ).agg(F.count(F.lit(1)).alias("n_files"))
+
+
+def footers(spark: SparkSession, path: str) -> DataFrame:
+    """Rows, row groups and the largest row group of each Parquet file below a path."""
+
+    def read(batches):
+        import io
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            found = [pq.ParquetFile(io.BytesIO(x.as_py())).metadata for x in batch.column(0)]
+            sizes = [[m.row_group(i).num_rows for i in range(m.num_row_groups)] for m in found]
+            columns = [[sum(s) for s in sizes], [len(s) for s in sizes], [max(s, default=0) for s in sizes]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["n_rows", "n_groups", "most_in_group"])
+
+    content = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("content")
+    return content.mapInArrow(read, "n_rows bigint, n_groups bigint, most_in_group bigint")
+
+
 @check("""
     SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
            CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate

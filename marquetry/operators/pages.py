@@ -1,19 +1,25 @@
 """Landed pages ``(url, html)`` to rows, as one scan of column expressions.
 
 A page yields all of its rows or, if any part of it cannot be read, none; such
-pages come out of :func:`rejects` with the reason.
+pages come out of :func:`rejects` with the reason. A table within a cell is text of
+that cell: its rows and cells are not taken for those of the table around it.
+
+Pages may carry a ``position``, any value that sorts as the input does (such as
+:func:`landed_pages` gives them). Rows then have it too, with their ``place`` in the
+page, and rejects have it, so input order can be had back after any shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import (
     bind,
-    element,
+    first_table,
     markup_text,
     money,
     non_empty,
@@ -115,21 +121,25 @@ def _table_read(url: Column, html: Column, sites: Sites) -> Column:
     """struct(rows, reason) of a page with a revenue table."""
     yearly = page_layout(url, sites) == "yearly table"
 
-    def whole(cell: Column) -> Column:
-        return F.replace(markup_text(cell), F.lit(","), F.lit("")).try_cast("bigint")
+    def whole(text: Column) -> Column:
+        return F.replace(text, F.lit(","), F.lit("")).try_cast("bigint")
 
     def row(c: Column) -> Column:
         link = F.regexp_extract(F.get(c, 1), r"(?is)<a\b([^>]*)>", 1)
-        return F.struct(
-            F.when(yearly, F.lit(NO_ID)).otherwise(title_id(link)).alias("tconst"),
-            F.when(yearly, F.lit(NO_NUMBER).cast("bigint")).otherwise(whole(F.get(c, 0))).alias("rnk"),
-            F.when(yearly, F.lit(NO_ID)).otherwise(path_part(url, -2)).alias("type"),
-            markup_text(F.get(c, 1)).alias("movie_name"),
-            F.when(yearly, path_part(url, -1).try_cast("bigint"))
-            .otherwise(whole(F.get(c, 7)))
-            .alias("movie_year"),
-            money(markup_text(F.get(c, 2))).alias("box_office"),
-        )
+
+        def of_texts(t: Column) -> Column:
+            return F.struct(
+                F.when(yearly, F.lit(NO_ID)).otherwise(title_id(link)).alias("tconst"),
+                F.when(yearly, F.lit(NO_NUMBER).cast("bigint")).otherwise(whole(F.get(t, 0))).alias("rnk"),
+                F.when(yearly, F.lit(NO_ID)).otherwise(path_part(url, -2)).alias("type"),
+                F.get(t, 1).alias("movie_name"),
+                F.when(yearly, path_part(url, -1).try_cast("bigint"))
+                .otherwise(whole(F.get(t, 7)))
+                .alias("movie_year"),
+                money(F.get(t, 2)).alias("box_office"),
+            )
+
+        return bind(F.transform(F.slice(c, 1, 8), markup_text), of_texts)
 
     def complete(r: Column) -> Column:
         ok = F.lit(True)
@@ -149,9 +159,9 @@ def _table_read(url: Column, html: Column, sites: Sites) -> Column:
             F.transform(table_rows(table), lambda r: row_cells(r, "td")), lambda c: F.size(c) > 0
         )
         read = bind(F.transform(cells, row), of_rows)
-        return F.when(table != "", read).otherwise(_no_rows("no table"))
+        return F.when(table.isNotNull(), read).otherwise(_no_rows("no table"))
 
-    return bind(element(uncommented(html), "table"), of_table)
+    return bind(first_table(uncommented(html)), of_table)
 
 
 def _no_rows(reason: str) -> Column:
@@ -167,27 +177,52 @@ def page_layout(url: Column, sites: Sites) -> Column:
     )
 
 
+def landed_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(url, html, position) of landed Parquet files; the position is file and row in it."""
+    pages = spark.read.parquet(path)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return pages.select("url", "html", place.alias("position"))
+
+
+def carried(pages: DataFrame) -> list[str]:
+    return [c for c in pages.columns if c == "position"]
+
+
 def read_pages(pages: DataFrame, sites: Sites) -> DataFrame:
-    """(url, rows, reason) of every page, each read by the layout of its site.
+    """(url, rows, reason) of every page, each read by the layout of its site, and its position if it has one.
 
     The result goes through ``inline`` so that a later filter on ``reason`` sees
     finished columns instead of reading the page a second time.
     """
+    read = _reader(sites, id(pages.sparkSession._jvm))
+    return pages.select("url", F.inline(F.array(read)), *carried(pages))
+
+
+@lru_cache(maxsize=8)
+def _reader(sites: Sites, _jvm: int) -> Column:
+    """What a page of ``url`` and ``html`` reads as; some hundred expressions, so made once per process."""
     url, html = F.col("url"), F.col("html")
-    read = F.when(page_layout(url, sites) == "list", _list_read(url, html, sites)).otherwise(
+    return F.when(page_layout(url, sites) == "list", _list_read(url, html, sites)).otherwise(
         _table_read(url, html, sites)
     )
-    return pages.select("url", F.inline(F.array(read)))
 
 
 def page_rows(read: DataFrame) -> DataFrame:
-    """tconst, rnk, type, movie_name, movie_year, box_office, url."""
-    rows = read.filter(F.col("reason").isNull()).select("url", F.explode("rows").alias("r"))
-    return rows.select("r.*", "url")
+    """tconst, rnk, type, movie_name, movie_year, box_office, url; of pages with a position also that and place (from 1)."""
+    good, own = read.filter(F.col("reason").isNull()), carried(read)
+    if not own:
+        return good.select("url", F.explode("rows").alias("r")).select("r.*", "url")
+    rows = good.select("url", "position", F.posexplode("rows").alias("place", "r"))
+    return rows.select("r.*", "url", "position", (F.col("place") + 1).cast("bigint").alias("place"))
 
 
 def page_rejects(read: DataFrame) -> DataFrame:
-    return read.filter(F.col("reason").isNotNull()).select("url", "reason")
+    return read.filter(F.col("reason").isNotNull()).select("url", "reason", *carried(read))
+
+
+def in_input_order(rows: DataFrame) -> DataFrame:
+    """Rows or rejects of pages with positions, in the order in which the input has them."""
+    return rows.orderBy(*[c for c in ("position", "place") if c in rows.columns])
 
 
 def extract_all(pages: DataFrame, sites: Sites) -> DataFrame:
@@ -204,7 +239,7 @@ def extract_gross_table(pages: DataFrame, sites: Sites) -> DataFrame:
 
 
 def rejects(pages: DataFrame, sites: Sites) -> DataFrame:
-    """(url, reason) of the pages that gave no rows because they cannot be read."""
+    """(url, reason) of the pages that gave no rows because they cannot be read, and their position."""
     return page_rejects(read_pages(pages, sites))
 
 
@@ -223,11 +258,10 @@ def extract_lookup(
     The first ``skip`` table rows are headings. A page without the table or one of
     the columns fails the job, or gives no rows if not ``strict``.
     """
-    table = F.regexp_extract(
-        uncommented(F.col("html")), r"""(?is)<table\b[^>]*\bclass\s*=\s*["'][^"'>]*\bwikitable\b[^>]*>(.*?)</table\s*>""", 1
-    )
+    opening = r"""(?i)<table\b[^>]*\bclass\s*=\s*["'][^"'>]*\bwikitable\b[^>]*>"""
+    table = F.coalesce(first_table(uncommented(F.col("html")), opening), F.lit(""))
     texts = F.transform(
-        table_rows(table), lambda r: F.transform(row_cells(r, "td|th"), _stripped)
+        bind(table, table_rows), lambda r: F.transform(row_cells(r, "td|th"), _stripped)
     )
 
     def place(heads: Column, part: str) -> Column:

@@ -25,7 +25,11 @@ def top1_per_group(df: DataFrame, by: Sequence[str], order: Sequence[Column]) ->
 
 
 def dist_row_number(
-    df: DataFrame, order: Sequence[Column], out: str, n_parts: int | None = None
+    df: DataFrame,
+    order: Sequence[Column],
+    out: str,
+    n_parts: int | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """``row_number() OVER (ORDER BY order)`` as a distributed job.
 
@@ -33,11 +37,14 @@ def dist_row_number(
     their place in their partition, and shifted by the size of the partitions
     before theirs. End ``order`` with a unique column: it makes the numbering
     deterministic and lets the range split a value that dominates the first keys.
-    ``n_parts`` overrides the session's number of shuffle partitions.
+    ``n_parts`` overrides the session's number of shuffle partitions. Only the columns
+    ``keep`` (all, by default) are staged; what is only sorted by need not be.
     """
+    kept = list(keep) if keep else df.columns
     width = [n_parts] if n_parts else []
     ranged = df.repartitionByRange(*width, *order).sortWithinPartitions(*order)
-    placed = stage(ranged.withColumn("_place", F.monotonically_increasing_id()), "ranked")
+    columns = [F.col(f"`{c}`") for c in kept]
+    placed = stage(ranged.select(*columns, F.monotonically_increasing_id().alias("_place")), "ranked")
 
     part = F.shiftright("_place", _PLACE_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
@@ -50,7 +57,7 @@ def dist_row_number(
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .select(*df.columns, (F.col("_before") + place + 1).alias(out))
+        .select(*columns, (F.col("_before") + place + 1).alias(out))
     )
 
 
@@ -61,19 +68,25 @@ def cond_rank(
     out: str,
     default: int = 9999,
     behind: Column | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rank by (flagged first, then ``order``); rows without the flag get ``default``.
 
     Flagged rows come first, so ranking them alone gives the same numbers and
     the other rows are never sorted. Flagged rows that are ``behind`` sort after
     all rows without the flag (their keys are worse than the keys those are given),
-    so the number of these is added. Name the columns that ``order`` needs only:
-    every column of ``df`` is moved.
+    so the number of these is added. The result has the columns ``keep`` (all, by
+    default) and the rank.
     """
     marked = F.coalesce(flag, F.lit(False))
-    ranked = dist_row_number(df.filter(marked), order, out)
-    others = df.filter(~marked)
-    if behind is not None:
+    kept = list(keep) if keep else df.columns
+    flagged, others = df.filter(marked), df.filter(~marked)
+    if behind is None:
+        ranked = dist_row_number(flagged, order, out, keep=kept)
+    else:
+        flagged = flagged.withColumn("_behind", behind)
+        ranked = dist_row_number(flagged, order, out, keep=[*kept, "_behind"])
         skipped = others.agg(F.count(F.lit(1))).scalar()
-        ranked = ranked.withColumn(out, F.col(out) + F.when(behind, skipped).otherwise(F.lit(0)))
-    return ranked.unionByName(others.withColumn(out, F.lit(default).cast("bigint")))
+        ranked = ranked.withColumn(out, F.col(out) + F.when(F.col("_behind"), skipped).otherwise(F.lit(0))).drop("_behind")
+    rest = others.select(*[F.col(f"`{c}`") for c in kept]).withColumn(out, F.lit(default).cast("bigint"))
+    return ranked.unionByName(rest)

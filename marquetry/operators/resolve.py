@@ -35,6 +35,8 @@ def resolve_entities(
         [F.col("_prefer").desc_nulls_last(), F.col(key).asc()],
     )
     triple = [*on, value]
-    new = anti_join(without_id.select(*triple).distinct(), with_id, triple)
+    # One row per key on both sides, so no key can be hot.
+    copies = with_id.select(*triple).distinct()
+    new = without_id.select(*triple).distinct().join(copies, triple, "left_anti")
     named = new.groupBy(*on).agg(F.max(value).alias(value))
     return named.join(best, on).select(key, value)

@@ -61,21 +61,6 @@ def with_lists_and_revenue(
     )
 
 
-def rank_keys(title: DataFrame, top: DataFrame, boxoffice: DataFrame) -> DataFrame:
-    """What the two overall ranks sort by, one narrow row per title of the kept types."""
-    kept = title.filter(F.col("title_type").isin(*TITLE_TYPES)).select("tconst", "num_votes", "avg_rating")
-    return with_lists_and_revenue(kept, top, boxoffice).select(
-        "tconst",
-        *CHARTS,
-        "is_top_title",
-        "popularity_rnk",
-        "language_popularity_rnk",
-        "top_title_rnk",
-        "language_votes_rnk",
-        *STRENGTH,
-    )
-
-
 def build_gold(
     title: DataFrame,
     crew: DataFrame,
@@ -85,8 +70,9 @@ def build_gold(
 ) -> DataFrame:
     """The star with its two overall ranks; ties are broken by the unique title id.
 
-    The ranks need neither credits nor texts, so they are made from a narrow table,
-    and the star is joined once, never written or moved for them.
+    Lists and revenue join the titles once, and the result is staged: both ranks sort
+    its narrow key columns, and it then meets the credit lists and the ranks one-to-one.
+    The lists of credits are never moved after their own aggregation.
     """
     by_strength = [*[F.col(c).desc_nulls_last() for c in STRENGTH], F.col("tconst").asc()]
     by_popularity = [
@@ -97,25 +83,26 @@ def build_gold(
         *by_strength,
     ]
     day = F.current_date() if run_date is None else F.lit(run_date)
-    keys = stage(rank_keys(title, top, boxoffice), "rank-keys")
+    kept = title.filter(F.col("title_type").isin(*TITLE_TYPES))
+    titles = stage(with_lists_and_revenue(kept, top, boxoffice), "titles")
     by_chart = [*[F.col(rank).asc() for rank in CHARTS], *by_strength]
     behind = F.struct(*CHARTS) > F.struct(*[F.lit(UNRANKED).cast("bigint").alias(r) for r in CHARTS])
     ranks = run_together(
-        keys.sparkSession,
+        titles.sparkSession,
         {
             # This order still sees the list rank that the chart rank replaces.
-            "popularity": lambda: dist_row_number(keys, by_popularity, "overall_popularity_rnk"),
+            "popularity": lambda: dist_row_number(titles, by_popularity, "overall_popularity_rnk", keep=["tconst"]),
             # Titles on a top list sort before all others, so only they are sorted.
             "charted": lambda: cond_rank(
-                keys, F.col("is_top_title") == "Y", by_chart, "_chart_rnk", UNRANKED, behind
+                titles, F.col("is_top_title") == "Y", by_chart, "_chart_rnk", UNRANKED, behind, ["tconst"]
             ),
         },
         parallelism=2,
     )
     return (
-        gold_star(title, crew, top, boxoffice)
-        .join(ranks["popularity"].select("tconst", "overall_popularity_rnk"), "tconst")
-        .join(ranks["charted"].select("tconst", "_chart_rnk"), "tconst")
+        titles.join(credit_lists(crew), "tconst", "left")
+        .join(ranks["popularity"], "tconst")
+        .join(ranks["charted"], "tconst")
         .withColumns({"top_title_rnk": F.col("_chart_rnk"), "last_refresh_date": day})
         .select(*COLUMNS)
     )

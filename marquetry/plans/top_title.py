@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import yes_no
 from ..operators.groups import cond_max, sorted_set
-from ..operators.joins import skew_join
 from ..operators.pages import NO_ID
 from ..sources.scratch import stage
 
@@ -75,13 +74,14 @@ def looked_up(list_rows: DataFrame, lang: DataFrame | None) -> DataFrame:
     """List rows with overall rank, boolean flags and, given ``lang``, the language name.
 
     There are far fewer list types than rows, so the patterns run once per type and
-    the rows look the outcome up; the types are staged, so their size is known.
+    the rows look the outcome up; the types are staged, so Spark knows their size and
+    sends them to the rows if they are as few as pages make them.
     """
     typed = list_rows.select("tconst", "rnk", F.coalesce("type", F.lit("")).alias("type"))
     lists = described(typed.select("type").distinct())
     if lang is not None:
         lists = lists.join(lang.select("lang_code", "lang_name"), "lang_code", "left")
-    rows = skew_join(typed, stage(lists, "lists"), ["type"], "left")
+    rows = typed.join(stage(lists, "lists"), "type", "left")
     return rows.withColumn("rnk", F.col("rnk").cast("bigint") + F.col("_before")).drop("_before")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import files
-from .tables import table_path
+from .tables import data_path, point_view, table_path, views_on
 
 
 def register_views(
@@ -18,10 +18,11 @@ def register_views(
 ) -> DataFrame:
     """(Re)create one view per table folder; returns the (schema, table) pairs.
 
-    Views only point at folders, so replacing one never touches data. Run it
-    again after a table changed its schema. ``prefix`` stands before the names of
-    the databases, so several roots can be registered side by side. Views of the
-    asked schemas and tables whose folder is gone are dropped.
+    Views only point at the files of a table's current version, so replacing one
+    never touches data. When this application replaces a table, its views move to
+    the new version; run this again where another one did. ``prefix`` stands before
+    the names of the databases, so several roots can be registered side by side.
+    Views of the asked schemas and tables whose folder is gone are dropped.
     """
     found = []
     for path in files.folders(spark, table_path(root, schema or "*", table or "*")):
@@ -29,7 +30,9 @@ def register_views(
         if sch.startswith("_"):
             continue
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{sch}`")
-        spark.sql(f"CREATE OR REPLACE VIEW `{prefix}{sch}`.`{tbl}` AS SELECT * FROM {fmt}.`{path}`")
+        view = f"`{prefix}{sch}`.`{tbl}`"
+        point_view(spark, view, fmt, path if fmt == "delta" else data_path(spark, path))
+        views_on(spark, table_path(root, sch, tbl))[view] = fmt
         found.append((sch, tbl))
     asked = [schema] if schema else sorted({s for s, _ in found})
     for sch in asked:

@@ -40,11 +40,40 @@ def test_two_keys_and_copies(spark, dim):
 
 
 def test_hot_keys_are_few_and_found(facts):
-    hot = {r["_hot_k"]: r["_salts"] for r in joins.hot_keys(facts, ["k"]).collect()}
+    key = joins.key_hash(facts, ["k"], facts)
+    names = {h: k for k, h in facts.select("k", key.alias("h")).distinct().collect()}
+    hot = {names[h]: salts for h, salts in joins.hot_keys(facts, key).items()}
     assert set(hot) <= {7, None} and hot[7] >= 3
     assert len(hot) < joins.shuffle_width(facts)
 
 
+def test_every_key_above_the_share_is_found(spark):
+    """Some keys just above an average partition, among many times more keys than a sketch tracks."""
+    width = joins.shuffle_width(spark.range(1))
+    rows, above = 200_000, width - 2
+    key = F.when(F.col("id") % width < above, F.col("id") % width).otherwise(F.col("id") + 1_000)
+    df = spark.range(0, rows, 1, 13).select(key.alias("k"))
+    extra = spark.range(0, above).select(F.explode(F.array_repeat("id", 50)).alias("k"))
+    df = df.union(extra)
+    hashed = joins.key_hash(df, ["k"], df)
+    counts = {r["h"]: r["count"] for r in df.groupBy(hashed.alias("h")).count().collect()}
+    hot, total = joins.hot_keys(df, hashed), df.count()
+    assert {h for h, n in counts.items() if n * width > total} <= set(hot)
+    assert all(hot[h] >= -(-counts[h] * width // total) for h in hot) and len(hot) < 2 * width
+
+
+def test_keys_of_other_width_hash_alike(spark, facts):
+    narrow = spark.range(0, 450).select(F.col("id").cast("int").alias("k"), F.lit("n").alias("name"))
+    assert bag(joins.skew_join(facts, narrow, ["k"])) == bag(facts.join(narrow, ["k"]))
+
+
+def test_no_hot_key_no_salt(spark, dim):
+    flat = spark.range(0, 10_000).select((F.col("id") % 450).alias("k"))
+    plan = joins.skew_join(flat, dim, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in plan
+    assert joins.hot_keys(flat.limit(0), F.col("k")) == {}
+
+
 def test_hot_rows_are_spread(spark, facts, dim):
     """No shuffle partition gets the hot key whole."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)

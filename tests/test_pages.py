@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import html
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from marquetry.functions.text import currency_label, markup_text, money, title_id
+from marquetry.functions.text import currency_label, markup_text, money, running, title_id
 from marquetry.operators.pages import (
     extract_all,
     extract_lookup,
+    in_input_order,
+    landed_pages,
     page_rejects,
     page_rows,
     read_pages,
@@ -200,3 +203,61 @@ def test_an_empty_node_counts_as_none(spark):
         ("tt9", 1, "top", "Nine", 2009, -1),
         ("tt8", 2, "top", "Eight", 2008, -1),
     ]
+
+
+def test_tables_within_cells(spark):
+    """They are text of their cell; the table ends at its own end tag, a row at its own."""
+    inner = "<table><tr><td>in</td><td>$7</td></tr><tr><td>deep<TABLE><td>x</table></table>"
+    rows = (
+        f"<tr><td>1<td>A {inner} b<td>$5<td>{inner}<tr><td>2</td><td>B</td><td>$6</td><td>{inner}</td></tr>"
+        "<tbody><tr><td>3</td><td>C</td><td>$8</td></tr></tbody>"
+    )
+    html = f"<table class='t'>{rows}</table><table><tr><td>9</td><td>no</td><td>$9</td></tr></table>"
+    assert read(spark, (YEAR, html)) == [
+        ("NA", -1, "NA", "A in$7deepx b", 1999, 5),
+        ("NA", -1, "NA", "B", 1999, 6),
+        ("NA", -1, "NA", "C", 1999, 8),
+    ]
+    wiki = WIKI.replace("<td>ta</td>", f"<td>ta</td><td>{inner}</td>").replace("ml </td>", "ml </td><td><table class=wikitable><tr><td>q</table></td>")
+    got = extract_lookup(pages(spark, ("w", wiki))).collect()
+    assert [(r.lang_name, r.lang_code) for r in got] == [("Malayalam", "ml"), ("Tamil", "ta")]
+
+
+def test_a_table_that_is_never_closed_ends_with_the_page(spark):
+    html = "<table><tr><td>1<td>A<table><tr><td>x<td>$5"
+    assert read(spark, (YEAR, html)) == []  # the inner table takes the rest, so no revenue is left
+    assert read(spark, (YEAR, html.replace("<table><tr><td>x", "i"))) == [("NA", -1, "NA", "Ai", 1999, 5)]
+
+
+def test_many_nested_tables(spark):
+    """Depths of a long page, past the blocks in which they are summed up."""
+    inner = "<table><tr><td>i<table><tr><td>j</td></tr></table></td></tr></table>"
+    body = "".join(f"<tr><td>{i}</td><td>N{i}{inner}</td><td>${i}</td></tr>" for i in range(400))
+    got = read(spark, (YEAR, f"<p><table>{body}</table>"))
+    assert [(r[3], r[5]) for r in got] == [(f"N{i}ij", i) for i in range(400)]
+
+
+def test_running_sums(spark):
+    values = [[], [1], [1, -1, 2], list(range(-30, 71))]
+    df = spark.createDataFrame([(v,) for v in values], "v array<int>").select("v", running(F.col("v")).alias("s"))
+    for r in df.collect():
+        assert r["s"] == [sum(r["v"][: i + 1]) for i in range(len(r["v"]))]
+
+
+def test_references_as_a_parser_reads_them(spark):
+    texts = [
+        "Caf&eacute Luna", "&ampx &AMP;&ltx &notit; &notin; &copycat &Aacutex &aacute;", "&#39 &#x41g &#65;&#x1F600;",
+        "&amp;lt; && & &; &nosuch; &x", "&thetasym;&theta &ThickSpace;|", "&frac12&frac123 &sup1st",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r["i"]: r["t"] for r in df.select("i", markup_text(F.col("t")).alias("t")).collect()}
+    assert [got[i] for i in range(len(texts))] == [html.unescape(t) for t in texts]
+
+
+def test_positions_survive_a_shuffle(spark, tmp_path):
+    made = [(f"https://lists.example/chart/top{i}/", script({"pageData": {"chartTitles": {"edges": [{"node": node(f"tt{i}{k}", "t", 2000)} for k in range(3)]}}}) if i % 4 else "<p>") for i in range(12)]
+    pages(spark, *made).coalesce(1).write.parquet(str(tmp_path / "p"))
+    landed = landed_pages(spark, str(tmp_path / "p"))
+    found = read_pages(landed.repartition(5, "url"), SITES)
+    assert [r.tconst for r in in_input_order(page_rows(found)).collect()] == [f"tt{i}{k}" for i in range(12) if i % 4 for k in range(3)]
+    assert [r.url for r in in_input_order(page_rejects(found)).collect()] == [made[i][0] for i in (0, 4, 8)]

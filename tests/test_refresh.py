@@ -20,7 +20,7 @@ from marquetry.plans.title import build_title
 from marquetry.sources.catalog import register_views
 from marquetry.sources.concurrent_jobs import run_together
 from marquetry.sources.scratch import release, scratch, scratch_path, scratch_root, stage
-from marquetry.sources.tables import write_table
+from marquetry.sources.tables import data_path, table_path, write_table
 from test_pages import SITES, WIKI, node, pages, script, table
 
 N = "\\N"
@@ -300,7 +300,7 @@ def test_a_failed_write_leaves_no_folder(spark, tmp_path):
     broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("string").alias("x"))
     with pytest.raises(Exception):  # noqa: B017
         write_table(broken, str(tmp_path), "silver", "t")
-    assert not list((tmp_path / "Tables" / "_incoming").glob("*"))
+    assert not list((tmp_path / "Tables" / "silver" / "t" / "_data").glob("*"))
 
 
 def test_release_is_for_what_no_run_owns(spark):
@@ -313,12 +313,12 @@ def test_release_is_for_what_no_run_owns(spark):
 def test_row_groups(spark, tmp_path):
     rows = spark.range(0, 100_000, 1, 1).withColumn("x", F.col("id") * 7)
     write_table(rows, str(tmp_path), "silver", "t", max_rows_per_group=30_000)
-    files = list((tmp_path / "Tables" / "silver" / "t").glob("*.parquet"))
+    files = list(Path(data_path(spark, table_path(str(tmp_path), "silver", "t"))).glob("*.parquet"))
     meta = [pq.ParquetFile(f).metadata for f in files]
     groups = [m.row_group(i).num_rows for m in meta for i in range(m.num_row_groups)]
     assert sum(groups) == 100_000 and max(groups) <= 30_000
     write_table(rows, str(tmp_path), "silver", "u", row_group_bytes=100_000)
-    files = list((tmp_path / "Tables" / "silver" / "u").glob("*.parquet"))
+    files = list(Path(data_path(spark, table_path(str(tmp_path), "silver", "u"))).glob("*.parquet"))
     assert sum(pq.ParquetFile(f).metadata.num_row_groups for f in files) > 1
 
 

@@ -84,10 +84,36 @@ def test_gold_joins_share_one_partitioning(spark):
 
 
 def test_hot_keys_are_salted_at_every_size(spark):
-    for name in ("hot_key_inner", "hot_key_left", "hot_key_anti", "crew_inner", "inner_multi_key"):
+    for name in ("hot_key_inner", "hot_key_left", "hot_key_anti"):
         assert "_salt" in plan_of(entry.queries()[name](spark, SF)), name
 
 
+def test_without_a_hot_key_the_join_is_plain(spark):
+    """Nothing is salted, repeated or staged, and the left side moves once at most."""
+    for name in ("inner_multi_key", "anti_one_key", "anti_three_keys"):
+        plan = plan_of(entry.queries()[name](spark, SF))
+        assert "_salt" not in plan and "Generate" not in plan, name
+
+
+def test_the_report_reads_gold_once(spark, monkeypatch):
+    from marquetry.plans import report
+
+    seen, own = [], report.stage
+    monkeypatch.setattr(report, "stage", lambda df, label: (seen.append(plan_of(df)), own(df, label))[1])
+    entry.queries()["overview_slicers"](spark, SF)
+    (plan,) = seen
+    assert plan.count("FileScan") == 1 and plan.count("Generate") == 1 and plan.count("HashAggregate") == 2
+
+
+def test_the_ledger_and_the_rows_come_from_one_scan(spark, monkeypatch):
+    from marquetry.sources import delimited
+
+    seen, own = [], delimited.stage
+    monkeypatch.setattr(delimited, "stage", lambda df, label: (seen.append(plan_of(df)), own(df, label))[1])
+    plan = plan_of(entry.queries()["cast_ledger"](spark, SF))
+    assert len(seen) == 1 and seen[0].count("FileScan") == 1 and "lineitem" in seen[0] and "lineitem" not in plan
+
+
 def test_credit_lists_are_not_moved_again(spark):
     """From the lists' own aggregation to the result of gold there is no exchange."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)

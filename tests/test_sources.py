@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from marquetry.plans.crew import clustered
 from marquetry.sources import scratch
 from marquetry.sources.delimited import bronze_load, cast_present, load_all, scan_delimited, table_name
-from marquetry.sources.tables import read_table, table_path, write_table
+from marquetry.sources.tables import data_path, read_table, table_path, write_table
 
 
 def dump(path, *lines):
@@ -75,7 +75,7 @@ def test_failed_write_leaves_the_old_table(spark, tmp_path):
 def test_file_and_group_limits(spark, tmp_path):
     root = str(tmp_path)
     write_table(spark.range(0, 10_000, 1, 1), root, "s", "t", max_records_per_file=4000, max_rows_per_group=1500)
-    folder = table_path(root, "s", "t")
+    folder = data_path(spark, table_path(root, "s", "t"))
     found = [pq.ParquetFile(f"{folder}/{f}").metadata for f in os.listdir(folder) if f.endswith(".parquet")]
     assert sorted(m.num_rows for m in found) == [2000, 4000, 4000]
     assert max(m.row_group(i).num_rows for m in found for i in range(m.num_row_groups)) <= 1500
