@@ -33,6 +33,10 @@ STEP, CALM = 0.1, 64.0
 WARM_TEXTS, WARM_PASSES = 2_000, 4
 #: Models that one task averages.
 FAN_IN = 64
+#: Training tokens, about, on which one model is trained before the average.
+SHARD_TOKENS = 4_000_000
+#: Characters whose words are counted before the counts go to Spark.
+COUNT_CHARS = 4 * CHUNK_CHARS
 
 
 @dataclass
@@ -164,79 +168,94 @@ def class_runs(index: np.ndarray, counts: np.ndarray, classes: int) -> tuple[np.
     return near, far, word
 
 
-def chunks(texts: list[str]) -> Iterator[list[str]]:
+def chunks(texts: list[str], chars: int = CHUNK_CHARS) -> Iterator[list[str]]:
     own, size = [], 0
     for text in texts:
         own.append(text)
         size += len(text)
-        if size >= CHUNK_CHARS:
+        if size >= chars:
             yield own
             own, size = [], 0
     if own:
         yield own
 
 
+STATES = "shard int, tokens bigint, flat array<double>"
+
+
+def state_row(shard: int, tokens: int, flat: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([shard], pa.int32()), pa.array([tokens], pa.int64()), pa.array([flat], pa.list_(pa.float64()))]
+    return pa.RecordBatch.from_arrays(columns, ["shard", "tokens", "flat"])
+
+
+def in_shards(training: DataFrame, number: int) -> DataFrame:
+    """The rows by shard, a function of their content alone, and in an order of their content."""
+    shard = F.pmod("_k2", F.lit(number)).cast("int")
+    dealt = training.select("_k1", "_k2", "_text", shard.alias("_shard")).repartitionById(number, "_shard")
+    return dealt.sortWithinPartitions("_k1", "_k2").select("_shard", "_text")
+
+
 def training_runs(docs: DataFrame, head, start, passes: int) -> DataFrame:
-    """One row per task with text: its state after training on its texts, and its tokens."""
+    """One row per task with text, which has one shard: its state after training on it, and its tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, trainer = Head(**head.value), None
+        known, trainer, shard = Head(**head.value), None, 0
         for batch in batches:
-            for own in chunks([t or "" for t in batch.column(0).to_pylist()]):
+            for own in chunks([t or "" for t in batch.column(1).to_pylist()]):
                 if trainer is None:
+                    shard = batch.column(0)[0].as_py()
                     trainer = Trainer(start, known.noise, 11)
                 index, counts, _ = token_indices(own, known)
                 runs = class_runs(index, counts, known.classes)
                 for _ in range(passes):
                     trainer.train(*runs)
         if trainer is not None:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([trainer.tokens], pa.int64()),
-                    pa.array([trainer.state().astype(np.float64)], pa.list_(pa.float64())),
-                ],
-                ["tokens", "flat"],
-            )
+            yield state_row(shard, trainer.tokens, trainer.state().astype(np.float64))
 
-    return docs.select("_text").mapInArrow(run, "tokens bigint, flat array<double>")
+    return docs.mapInArrow(run, STATES)
 
 
 def averaged(runs: DataFrame, start: np.ndarray) -> np.ndarray:
-    """The mean of the tasks' states, weighted by their tokens, in a tree of Spark tasks."""
+    """The mean of the shards' states, weighted by their tokens, in a tree of Spark tasks and in order of shards."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, weight = None, 0
+        total, weight, first = None, 0, 0
         for batch in batches:
-            for tokens, flat in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for shard, tokens, flat in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 own = flat.values.to_numpy() * tokens
+                first = shard if total is None else first
                 total, weight = (own if total is None else total + own), weight + tokens
         if weight:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([weight], pa.int64()), pa.array([total / weight], pa.list_(pa.float64()))], ["tokens", "flat"]
-            )
+            yield state_row(first, weight, total / weight)
 
     level = stage(runs, "lm-runs")
-    number = level.count()
+    number, width = level.count(), FAN_IN
     while number > 1:
-        groups = max(1, math.ceil(number / FAN_IN))
-        level = stage(level.repartition(groups).mapInArrow(merge, "tokens bigint, flat array<double>"), "lm-mean")
-        number = level.count() if groups > 1 else 1
+        group = F.floor(F.col("shard") / width).cast("int")
+        groups = level.agg(F.max(group) + 1).first()[0]
+        dealt = level.repartitionById(groups, group).sortWithinPartitions("shard")
+        level = stage(dealt.mapInArrow(merge, STATES), "lm-mean")
+        number, width = level.count() if groups > 1 else 1, width * FAN_IN
     last = level.take(1)
     return np.array(last[0]["flat"]) if last else start
 
 
-def tokens_of(text: Column) -> Column:
-    """The words of a text, A-Z in lower case, as an array with empty strings between."""
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.split(F.translate(text, upper, lower), r"[\x20\x09-\x0D]+")
-
-
 def count_tokens(training: DataFrame) -> DataFrame:
     """``token`` and ``c`` over all training texts, the end token included."""
-    words = training.select(F.explode(tokens_of(F.col("_text"))).alias("token")).filter("token <> ''")
-    counts = words.groupBy("token").agg(F.count(F.lit(1)).alias("c"))
-    ends = training.agg(F.count(F.lit(1)).alias("c")).filter("c > 0").select(F.lit(END).alias("token"), "c")
-    return stage(counts.unionByName(ends), "lm-counts")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own in chunks([t or "" for t in batch.column(0).to_pylist()], COUNT_CHARS):
+                found: Counter = Counter()
+                for text in own:
+                    found.update(text.encode().lower().split())
+                found[END.encode()] = len(own)
+                columns = [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["token", "n"])
+
+    parts = training.select("_text").mapInArrow(run, "token binary, n bigint")
+    counts = parts.groupBy(F.col("token").cast("string").alias("token")).agg(F.sum("n").alias("c"))
+    return stage(counts, "lm-counts")
 
 
 def head_of(counts: DataFrame, total: int) -> Head:
@@ -319,8 +338,10 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     training counts, so probabilities add up to 1 over all words and one unknown.
 
     Word counts are made and joined by Spark. The parameters are warmed up on a small
-    sample, then every task trains on its own training texts and Spark averages the
-    results, so the model has seen all training tokens.
+    sample, then trained on every shard of the training texts and averaged by Spark, so
+    the model has seen all training tokens. A text's shard and its place there follow
+    from its content, and the number of shards from the number of tokens, so scores do
+    not depend on how the input is split.
 
     Null texts are empty (the end token only), a null id counts as the empty string,
     repeated rows get equal scores, and an empty table gives no rows. Without
@@ -347,10 +368,12 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     share = min(1.0, WARM_TEXTS / max(int(sums["texts"]), 1))
     picked = training.filter(F.pmod("_k1", F.lit(1_000_000)) < math.ceil(share * 1_000_000))
     # All tasks scan; the few texts then go to one task, in an order of their own.
-    sample = picked.repartition(1).sortWithinPartitions("_k1", "_k2")
+    sample = picked.repartition(1).sortWithinPartitions("_k1", "_k2").select(F.lit(0).alias("_shard"), "_text")
     start = Trainer.start(own.noise)
     warm = averaged(training_runs(sample, head, start, WARM_PASSES), start)
-    model = np.split(averaged(training_runs(training, head, warm, 1), warm), 2)[0]
+    # Shards by content, their number by the corpus: no score depends on files, splits or cores.
+    shards = in_shards(training, max(1, math.ceil(total / SHARD_TOKENS)))
+    model = np.split(averaged(training_runs(shards, head, warm, 1), warm), 2)[0]
 
     scored = stage(partial_scores(rows, head, model), "lm-partial")
     pairs = scored.select("_k1", "_k2", F.explode("tail").alias("token", "times"))

@@ -190,3 +190,45 @@ def test_the_warm_up_sample_is_picked_by_all_tasks(spark, monkeypatch):
     assert lm.score_texts(docs).count() == len(rows)
     (warm,) = [plan for passes, plan in plans if passes == lm.WARM_PASSES]
     assert "Coalesce" not in warm and "SinglePartition" in warm
+
+
+@pytest.mark.parametrize("shard_tokens", [4_000_000, 3_000])
+def test_scores_do_not_depend_on_the_split(spark, monkeypatch, shard_tokens):
+    """The same rows in 1 and 8 partitions, also with several shards and a tree of averages."""
+    monkeypatch.setattr(lm, "SHARD_TOKENS", shard_tokens)
+    monkeypatch.setattr(lm, "FAN_IN", 2)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").filter("length(text) < 3000")
+    one, many = (
+        {r["doc_id"]: r["score"] for r in lm.score_texts(docs.repartition(n)).select("doc_id", "score").collect()} for n in (1, 8)
+    )
+    assert len(one) > 100 and one == pytest.approx(many, rel=1e-6)
+
+
+def test_scores_add_up_by_brute_force(spark, monkeypatch):
+    """Each text's score from the trained arrays, token by token over the whole normaliser."""
+    import numpy as np
+
+    trained, own = [], lm.partial_scores
+    monkeypatch.setattr(lm, "partial_scores", lambda rows, head, model: (trained.append((head.value, model)), own(rows, head, model))[1])
+    monkeypatch.setattr(lm, "MODEL_WORDS", 12)
+    random.seed(4)
+    words = [f"w{i}" for i in range(40)]
+    texts = [(i, " ".join(random.choices(words, [1 / (k + 1) for k in range(40)], k=random.choice([0, 3, 30])))) for i in range(60)]
+    got = {r["doc_id"]: r["score"] for r in lm.score_texts(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    head, flat = trained[0]
+    model, side = lm.Model.of(flat, head["classes"]), head["classes"]
+    counts = Counter(t for i, x in texts if zlib.crc32(str(i).encode()) % 10 for t in [*x.split(), lm.END])
+    outside = sum(c for t, c in counts.items() if head["index"][t.encode()] >= side - 1)
+    rest = outside + 0.1 * (len(counts) - (side - 1) + 1)
+    for i, text in texts:
+        near = far = side
+        total = 0.0
+        for token in [*text.split(), lm.END]:
+            place = head["index"].get(token.encode(), -1)
+            word = place + 1 if 0 <= place < side - 1 else 0
+            logits = [float((model.context[near] * model.places[0] + model.context[far] * model.places[1]) @ o + b) for o, b in zip(model.output, model.bias)]
+            total += (logits[word] - np.logaddexp.reduce(logits)) / math.log(10)
+            if word == 0:
+                total += math.log10((counts[token] + 0.1) / rest)
+            near, far = word, near
+        assert got[i] == pytest.approx(total, abs=1e-3)
