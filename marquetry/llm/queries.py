@@ -100,24 +100,33 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
             THEN weight * 1.0::DOUBLE * (SELECT sum(chars) FROM sizes)::DOUBLE
                 / (SELECT sum(weight) FROM sizes) / chars::DOUBLE ELSE 0.0::DOUBLE END AS rate
         FROM sizes
+    ), split AS (
+        SELECT source, greatest(ceil(rate / 700.0), 1)::BIGINT AS parts, rate / greatest(ceil(rate / 700.0), 1) AS rate
+        FROM rates
     ), terms AS (
         WITH RECURSIVE t AS (
-            SELECT source, rate, 0 AS k, exp(-rate) AS term, exp(-rate) AS total FROM rates
+            SELECT source, rate, 0 AS k, exp(-rate) AS term, exp(-rate) AS total FROM split
             UNION ALL
             SELECT source, rate, k + 1, term * rate / (k + 1), total + term * rate / (k + 1)
             FROM t WHERE k < ceil(rate + 12 * sqrt(rate) + 20)
         )
         SELECT * FROM t
+    ), rows AS (
+        SELECT row_number() OVER () AS r, doc_id, source, text FROM documents
     ), draws AS (
-        SELECT doc_id, source, text,
-            ('0x' || substr(md5(concat_ws('|', '0', coalesce(doc_id::VARCHAR, ''))), 1, 13))::BIGINT
+        SELECT d.r, d.doc_id, d.source, d.text,
+            ('0x' || substr(md5(CASE WHEN part = 1 THEN concat_ws('|', '0', coalesce(doc_id::VARCHAR, ''))
+                ELSE concat_ws('|', '0', coalesce(doc_id::VARCHAR, ''), 'part' || part) END), 1, 13))::BIGINT
                 / 4503599627370496.0::DOUBLE AS u
-        FROM documents
-    ), counted AS (
-        SELECT d.doc_id, d.source, d.text, d.u,
+        FROM rows d JOIN split s ON s.source IS NOT DISTINCT FROM d.source, unnest(range(1, s.parts + 1)) AS x(part)
+    ), drawn AS (
+        SELECT d.r, d.doc_id, d.source, d.text,
             (SELECT count(*) FROM terms t
              WHERE t.source IS NOT DISTINCT FROM d.source AND t.total <= d.u) AS n
         FROM draws d
+    ), counted AS (
+        SELECT r, any_value(doc_id) AS doc_id, any_value(source) AS source, any_value(text) AS text, sum(n)::BIGINT AS n
+        FROM drawn GROUP BY r
     )
     SELECT doc_id, source, text, copy, md5(concat_ws('|', 'order0', coalesce(doc_id::VARCHAR, ''), copy)) AS order_key
     FROM counted, unnest(range(1, n + 1)) AS x(copy)
