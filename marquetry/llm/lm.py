@@ -23,10 +23,11 @@ ADDED, FOLDS = 0.1, 10
 #: A token that makes up this share of all tokens goes to every task, so there are a
 #: million of them at most. Counts of all others are joined.
 HEAD_SHARE = 1e-6
-#: Words that the model tells apart; all others are one class with unigram odds inside.
-MODEL_WORDS = 1023
-#: Size of word vectors, noise samples per batch, tokens per batch.
-WIDTH, NOISE, BATCH = 16, 64, 2048
+#: A word with this share of all tokens has vectors of its own in the model; all others are
+#: one item with unigram odds inside. The shares of words settle as a corpus grows.
+MODEL_SHARE = 1e-5
+#: Size of word vectors, noise classes per batch, noise words per token, tokens per batch.
+WIDTH, NOISE, INNER, BATCH = 16, 16, 3, 4096
 #: Step of the training, and the sum of squared gradients with which each parameter starts.
 STEP, CALM = 0.1, 64.0
 #: Texts, about, on which the parameters are warmed up, and passes over them.
@@ -41,13 +42,20 @@ COUNT_CHARS = 4 * CHUNK_CHARS
 
 @dataclass
 class Head:
-    """The frequent tokens, the most frequent first, and what the scores need of the rest."""
+    """The frequent tokens, the most frequent first, and what the scores need of the rest.
+
+    The model's items are its words and, as one more, all other tokens, by falling share.
+    They are cut into classes of about equal shares, the root of their number of them, so
+    a class is a frequent item alone, or a run of ever more rare ones.
+    """
 
     index: dict[bytes, int]
     logs: np.ndarray  # log10(count + ADDED)
-    classes: int  # the class 0 of all words outside the model, and one class per word
-    noise: np.ndarray  # share of each class in the training tokens
-    outside: int  # training tokens of class 0
+    item: np.ndarray  # of each token of the head that has one of its own
+    share: np.ndarray  # of each item in the training tokens
+    other: int  # the item of all other tokens
+    starts: np.ndarray  # the first item of each class, and behind them the number of items
+    outside: int  # training tokens of the item ``other``
 
 
 @dataclass
@@ -56,86 +64,136 @@ class Model:
 
     context: np.ndarray
     places: np.ndarray
+    groups: np.ndarray
+    group_bias: np.ndarray
     output: np.ndarray
     bias: np.ndarray
 
+    def parts(self) -> tuple[np.ndarray, ...]:
+        return self.context, self.places, self.groups, self.group_bias, self.output, self.bias
+
     def flat(self) -> np.ndarray:
-        return np.concatenate([x.ravel() for x in (self.context, self.places, self.output, self.bias)])
+        return np.concatenate([x.ravel() for x in self.parts()])
 
     @classmethod
-    def of(cls, flat: np.ndarray, classes: int) -> Model:
-        cuts = np.cumsum([(classes + 1) * WIDTH, 2 * WIDTH, classes * WIDTH])
-        a, b, c, d = np.split(flat.astype(np.float32), cuts)
-        return cls(a.reshape(-1, WIDTH), b.reshape(2, WIDTH), c.reshape(-1, WIDTH), d)
+    def of(cls, flat: np.ndarray, starts: np.ndarray) -> Model:
+        items, classes = int(starts[-1]), len(starts) - 1
+        shapes = [(items + 1, WIDTH), (2, WIDTH), (classes, WIDTH), (classes,), (items, WIDTH), (items,)]
+        cuts = np.cumsum([math.prod(x) for x in shapes])[:-1]
+        # Copies, since parameters and squares are changed in place.
+        return cls(*[x.reshape(shape).astype(np.float32) for x, shape in zip(np.split(flat, cuts), shapes)])
 
     @classmethod
-    def start(cls, noise: np.ndarray) -> Model:
-        rng, n = np.random.default_rng(7), len(noise)
+    def start(cls, share: np.ndarray, starts: np.ndarray) -> Model:
+        rng, items, classes = np.random.default_rng(7), len(share), len(starts) - 1
 
         def small(*shape: int) -> np.ndarray:
             return rng.normal(0, 0.1, shape).astype(np.float32)
 
-        return cls(small(n + 1, WIDTH), np.ones((2, WIDTH), np.float32), small(n, WIDTH), np.log(noise).astype(np.float32))
+        inside = np.add.reduceat(share, starts[:-1])
+        return cls(
+            small(items + 1, WIDTH),
+            np.ones((2, WIDTH), np.float32),
+            small(classes, WIDTH),
+            np.log(inside).astype(np.float32),
+            small(items, WIDTH),
+            np.log(share / inside[class_of(starts)]).astype(np.float32),
+        )
 
     def predicted(self, near: np.ndarray, far: np.ndarray) -> np.ndarray:
         """The vector that the two words before (the nearer first) lead to expect."""
         return self.context[near] * self.places[0] + self.context[far] * self.places[1]
 
 
-def scattered(rows: np.ndarray, values: np.ndarray, height: int) -> np.ndarray:
-    """Sums of ``values`` by row number."""
-    cells = (rows[:, None] * WIDTH + np.arange(WIDTH)).ravel()
-    return np.bincount(cells, values.ravel(), height * WIDTH).reshape(height, WIDTH).astype(np.float32)
+def class_of(starts: np.ndarray) -> np.ndarray:
+    """The class of each item."""
+    return np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+
+
+def class_starts(share: np.ndarray) -> np.ndarray:
+    """Where classes of about equal shares begin, of items by falling share."""
+    number = math.ceil(math.sqrt(len(share)))
+    middle = (np.cumsum(share) - share / 2) / share.sum()
+    own = np.minimum((middle * number).astype(np.int64), number - 1)
+    return np.concatenate([np.flatnonzero(np.diff(own, prepend=-1)), [len(share)]])
 
 
 class Trainer:
-    """Noise-contrastive estimation with per-parameter steps, in batches.
+    """Noise-contrastive estimation with per-parameter steps, in batches, on both levels.
 
-    The state is the parameters and, behind them, their sums of squared gradients, so
-    that a task goes on with steps as small as those before it.
+    A token's class is told from noise classes drawn for the batch, the token from
+    noise words drawn from its class. The state is the parameters and, behind them,
+    their sums of squared gradients, so that a shard goes on with steps as small as
+    those before it. Only rows that a batch touches are changed.
     """
 
-    def __init__(self, state: np.ndarray, noise: np.ndarray, seed: int) -> None:
+    def __init__(self, state: np.ndarray, share: np.ndarray, starts: np.ndarray, seed: int) -> None:
         self.rng = np.random.default_rng(seed)
-        self.model, squares = (Model.of(half, len(noise)) for half in np.split(state, 2))
-        self.below = np.cumsum(noise / noise.sum())
-        self.log_noise = np.log(noise * NOISE).astype(np.float32)
-        self.squares = (squares.context, squares.places, squares.output, squares.bias)
+        self.model, squares = (Model.of(half, starts) for half in np.split(state, 2))
+        self.squares = squares.parts()
+        self.starts, self.classes = starts, class_of(starts)
+        inside = np.add.reduceat(share, starts[:-1])
+        self.below_class = np.cumsum(inside / inside.sum())
+        self.log_class = np.log(inside / inside.sum() * NOISE).astype(np.float32)
+        self.below = np.cumsum(share)
+        self.inside = inside
+        self.before = np.concatenate([[0.0], self.below])[starts[:-1]]
+        self.log_noise = np.log(share / inside[self.classes] * INNER).astype(np.float32)
         self.tokens = 0
 
     @staticmethod
-    def start(noise: np.ndarray) -> np.ndarray:
-        parameters = Model.start(noise).flat()
+    def start(share: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        parameters = Model.start(share, starts).flat()
         return np.concatenate([parameters, np.full_like(parameters, CALM)])
 
     def state(self) -> np.ndarray:
         return np.concatenate([self.model.flat(), *[x.ravel() for x in self.squares]])
 
+    def step(self, rows: np.ndarray, gradients: dict[int, np.ndarray]) -> None:
+        """Change the ``rows`` of parameters, by their place among the parts, by the sums of their gradients."""
+        small = rows.astype(np.uint16) if len(self.model.context) < 1 << 16 else rows  # these sort faster
+        order = np.argsort(small, kind="stable")
+        ordered = rows[order]
+        first = np.flatnonzero(np.diff(ordered, prepend=-1))
+        own = ordered[first]
+        for part, gradient in gradients.items():
+            sums = np.add.reduceat(gradient[order], first)
+            square = self.squares[part][own] + sums * sums
+            self.squares[part][own] = square
+            self.model.parts()[part][own] += STEP * sums / np.sqrt(square)
+
     def batch(self, near: np.ndarray, far: np.ndarray, word: np.ndarray) -> None:
-        m, size = self.model, len(word)
-        drawn = np.minimum(np.searchsorted(self.below, self.rng.random(NOISE)), len(m.bias) - 1)
+        m, own = self.model, self.classes[word]
         expected = m.predicted(near, far)
-        own = m.output[word]
-        real = np.einsum("ij,ij->i", expected, own) + m.bias[word] - self.log_noise[word]
-        down = expected @ -m.output[drawn].T
-        down -= m.bias[drawn] - self.log_noise[drawn]
-        up = 1 / (1 + np.exp(np.minimum(real, 80)))
-        np.minimum(down, 80, out=down)
-        np.exp(down, out=down)
-        down += 1
-        np.divide(-1, down, out=down)
-        at_expected = up[:, None] * own + down @ m.output[drawn]
-        grad_out = scattered(word, up[:, None] * expected, len(m.bias))
-        np.add.at(grad_out, drawn, down.T @ expected)
-        grad_bias = np.bincount(word, up, len(m.bias)) + np.bincount(drawn, down.sum(axis=0), len(m.bias))
-        grad_in = scattered(near, at_expected * m.places[0], len(m.context))
-        grad_in += scattered(far, at_expected * m.places[1], len(m.context))
-        grad_places = np.stack([(at_expected * m.context[x]).sum(axis=0) for x in (near, far)])
-        for x, g, s in zip((m.context, m.places, m.output, m.bias), (grad_in, grad_places, grad_out, grad_bias), self.squares):
-            g = g.astype(np.float32)
-            s += g * g
-            x += STEP * g / np.sqrt(s)
-        self.tokens += size
+        drawn = np.minimum(np.searchsorted(self.below_class, self.rng.random(NOISE)), len(m.group_bias) - 1)
+        real = np.einsum("ij,ij->i", expected, m.groups[own]) + m.group_bias[own] - self.log_class[own]
+        noise = expected @ m.groups[drawn].T + (m.group_bias[drawn] - self.log_class[drawn])
+        up = 1 / (1 + np.exp(np.clip(real, -80, 80)))
+        down = -1 / (1 + np.exp(-np.clip(noise, -80, 80)))
+        at_expected = up[:, None] * m.groups[own] + down @ m.groups[drawn]
+        class_rows = np.concatenate([own, drawn])
+        class_grads = np.concatenate([up[:, None] * expected, down.T @ expected])
+        class_bias = np.concatenate([up, down.sum(axis=0)])
+
+        several = np.flatnonzero(np.diff(self.starts)[own] > 1)
+        if len(several):
+            inner, lead = own[several], expected[several]
+            at = self.before[inner][:, None] + self.rng.random((len(several), INNER)) * self.inside[inner][:, None]
+            low, high = self.starts[inner][:, None], self.starts[inner + 1][:, None] - 1
+            items = np.concatenate([word[several][:, None], np.clip(np.searchsorted(self.below, at), low, high)], axis=1)
+            vectors = m.output[items]
+            score = np.einsum("nd,nkd->nk", lead, vectors) + m.bias[items] - self.log_noise[items]
+            error = -1 / (1 + np.exp(-np.clip(score, -80, 80)))
+            error[:, 0] += 1
+            at_expected[several] += np.einsum("nk,nkd->nd", error, vectors)
+            at_items = (error[:, :, None] * lead[:, None, :]).reshape(-1, WIDTH)
+            self.step(items.ravel(), {4: at_items, 5: error.ravel()})
+        in_place = [at_expected * m.places[0], at_expected * m.places[1]]
+        places = np.stack([(at_expected * m.context[x]).sum(axis=0) for x in (near, far)])
+        self.step(np.concatenate([near, far]), {0: np.concatenate(in_place)})
+        self.step(np.arange(2), {1: places})
+        self.step(class_rows, {2: class_grads, 3: class_bias})
+        self.tokens += len(word)
 
     def train(self, near: np.ndarray, far: np.ndarray, word: np.ndarray) -> None:
         order = self.rng.permutation(len(word))
@@ -158,13 +216,15 @@ def token_indices(texts: list[str], head: Head) -> tuple[np.ndarray, np.ndarray,
     return np.array([get(t, -1) for t in tokens], np.int64), counts, tokens
 
 
-def class_runs(index: np.ndarray, counts: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Classes of the word before, of the one before that, and of each token itself."""
-    word = np.where((index >= 0) & (index < classes - 1), index + 1, 0)
+def item_runs(index: np.ndarray, counts: np.ndarray, head: Head) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Items of the word before, of the one before that, and of each token itself."""
+    own = (index >= 0) & (index < len(head.item))
+    word = np.full(len(index), head.other, np.int64)
+    word[own] = head.item[index[own]]
     place = np.arange(len(word)) - np.repeat(np.cumsum(counts) - counts, counts)
     near, far = np.roll(word, 1), np.roll(word, 2)
-    near[place < 1] = classes
-    far[place < 2] = classes
+    near[place < 1] = len(head.share)
+    far[place < 2] = len(head.share)
     return near, far, word
 
 
@@ -180,11 +240,11 @@ def chunks(texts: list[str], chars: int = CHUNK_CHARS) -> Iterator[list[str]]:
         yield own
 
 
-STATES = "shard int, tokens bigint, flat array<double>"
+STATES = "shard int, tokens bigint, flat array<float>"
 
 
 def state_row(shard: int, tokens: int, flat: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array([shard], pa.int32()), pa.array([tokens], pa.int64()), pa.array([flat], pa.list_(pa.float64()))]
+    columns = [pa.array([shard], pa.int32()), pa.array([tokens], pa.int64()), pa.array([flat.astype(np.float32)], pa.list_(pa.float32()))]
     return pa.RecordBatch.from_arrays(columns, ["shard", "tokens", "flat"])
 
 
@@ -204,13 +264,13 @@ def training_runs(docs: DataFrame, head, start, passes: int) -> DataFrame:
             for own in chunks([t or "" for t in batch.column(1).to_pylist()]):
                 if trainer is None:
                     shard = batch.column(0)[0].as_py()
-                    trainer = Trainer(start, known.noise, 11)
+                    trainer = Trainer(start, known.share, known.starts, 11)
                 index, counts, _ = token_indices(own, known)
-                runs = class_runs(index, counts, known.classes)
+                runs = item_runs(index, counts, known)
                 for _ in range(passes):
                     trainer.train(*runs)
         if trainer is not None:
-            yield state_row(shard, trainer.tokens, trainer.state().astype(np.float64))
+            yield state_row(shard, trainer.tokens, trainer.state())
 
     return docs.mapInArrow(run, STATES)
 
@@ -222,7 +282,7 @@ def averaged(runs: DataFrame, start: np.ndarray) -> np.ndarray:
         total, weight, first = None, 0, 0
         for batch in batches:
             for shard, tokens, flat in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                own = flat.values.to_numpy() * tokens
+                own = flat.values.to_numpy().astype(np.float64) * tokens
                 first = shard if total is None else first
                 total, weight = (own if total is None else total + own), weight + tokens
         if weight:
@@ -263,30 +323,53 @@ def head_of(counts: DataFrame, total: int) -> Head:
     frequent = counts.filter(F.col("c") >= max(1.0, HEAD_SHARE * total)).toPandas()
     order = np.lexsort((frequent["token"], -frequent["c"], frequent["token"] != END))
     words, c = frequent["token"].to_numpy()[order], frequent["c"].to_numpy(np.int64)[order]
-    own = min(MODEL_WORDS, len(words))
+    own = int((c >= max(1.0, max(MODEL_SHARE, HEAD_SHARE) * total)).sum())
     outside = total - int(c[:own].sum())
-    shares = np.concatenate([[max(outside, 1)], c[:own]]).astype(float)
+    share = np.concatenate([c[:own], [max(outside, 1)]]).astype(float)
+    by_share = np.argsort(-share, kind="stable")
+    item = np.empty(own + 1, np.int64)
+    item[by_share] = np.arange(own + 1)
+    share = share[by_share] / share.sum()
     index = {w.encode(): i for i, w in enumerate(words)}
-    return Head(index, np.log10(c + ADDED), own + 1, shares / shares.sum(), outside)
+    return Head(index, np.log10(c + ADDED), item[:own], share, int(item[own]), class_starts(share), outside)
 
 
 class Scorer:
-    """Log-probabilities of classes; the normaliser of a context is computed once."""
+    """Log-probabilities of items: that of the class times that of the item in it, each normalised exactly."""
 
-    def __init__(self, model: Model) -> None:
-        self.model, self.side = model, len(model.context)
-        self.normaliser = np.full(self.side * self.side, np.nan, np.float32)
+    #: Scores that are held at a time.
+    CELLS = 2_000_000
 
-    def log10(self, near: np.ndarray, far: np.ndarray, word: np.ndarray) -> np.ndarray:
-        m, pair = self.model, near * self.side + far
-        new = np.unique(pair[np.isnan(self.normaliser[pair])])
-        for at in range(0, len(new), 4096):
-            own = new[at : at + 4096]
-            scores = m.predicted(own // self.side, own % self.side) @ m.output.T + m.bias
+    def __init__(self, model: Model, starts: np.ndarray) -> None:
+        self.model, self.starts, self.classes = model, starts, class_of(starts)
+
+    def normalisers(self, expected: np.ndarray, vectors: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        """The log of the sum over all ``vectors``, for each row."""
+        out, size = np.empty(len(expected), np.float32), max(1, self.CELLS // len(bias))
+        for at in range(0, len(expected), size):
+            scores = expected[at : at + size] @ vectors.T + bias
             top = scores.max(axis=1)
-            self.normaliser[own] = np.log(np.exp(scores - top[:, None]).sum(axis=1)) + top
-        score = np.einsum("ij,ij->i", m.predicted(near, far), m.output[word]) + m.bias[word]
-        return (score - self.normaliser[pair]).astype(np.float64) / math.log(10)
+            scores -= top[:, None]
+            out[at : at + size] = np.log(np.exp(scores, out=scores).sum(axis=1)) + top
+        return out
+
+    def log10(self, near: np.ndarray, far: np.ndarray, word: np.ndarray) -> np.ndarray:
+        m, side, own = self.model, len(self.model.context), self.classes[word]
+        pairs, back = np.unique(near * side + far, return_inverse=True)
+        expected = m.predicted(pairs // side, pairs % side)
+        normal = self.normalisers(expected, m.groups, m.group_bias)
+        lead = expected[back]
+        score = np.einsum("ij,ij->i", lead, m.groups[own]) + m.group_bias[own] - normal[back]
+        several = np.flatnonzero(np.diff(self.starts)[own] > 1)
+        several = several[np.argsort(own[several], kind="stable")]
+        inner = np.einsum("ij,ij->i", lead[several], m.output[word[several]]) + m.bias[word[several]]
+        bounds = np.flatnonzero(np.diff(own[several], prepend=-1, append=-1))
+        for at, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            group = own[several[at]]
+            items = slice(self.starts[group], self.starts[group + 1])
+            inner[at:end] -= self.normalisers(lead[several[at:end]], m.output[items], m.bias[items])
+        score[several] += inner
+        return score.astype(np.float64) / math.log(10)
 
 
 def partial_scores(rows: DataFrame, head, model: np.ndarray) -> DataFrame:
@@ -297,16 +380,16 @@ def partial_scores(rows: DataFrame, head, model: np.ndarray) -> DataFrame:
     def compute(texts: list[str]) -> list:
         known = Head(**head.value)
         if not scorers:
-            scorers.append(Scorer(Model.of(shared.value, known.classes)))
+            scorers.append(Scorer(Model.of(shared.value, known.starts), known.starts))
         index, counts, tokens = token_indices(texts, known)
-        near, far, word = class_runs(index, counts, known.classes)
+        near, far, word = item_runs(index, counts, known)
         text_of = np.repeat(np.arange(len(texts)), counts)
         rows = len(texts)
         model_sum = np.bincount(text_of, scorers[0].log10(near, far, word), rows)
         in_head = index >= 0
         logs = np.zeros(len(index))
         logs[in_head] = known.logs[index[in_head]]
-        outside = word == 0
+        outside = word == known.other
         tails: list[Counter] = [Counter() for _ in texts]
         for i in np.flatnonzero(~in_head).tolist():
             tails[text_of[i]][tokens[i].decode()] += 1
@@ -333,9 +416,12 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
     Columns: doc_id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
     ``base_score``, ``score``. Rows whose crc32 of the id leaves 0 when divided by 10
-    are held out. The model predicts a token's class from the two before: a word of
-    its own, or the class of all other words, inside which odds are those of the
-    training counts, so probabilities add up to 1 over all words and one unknown.
+    are held out. The model predicts a token from the two before, in two steps, its
+    class among all classes and itself among the items of its class, each normalised
+    over all of them. Every word with ``MODEL_SHARE`` of all tokens is an item with
+    vectors of its own, however many there are; all other words are one item, inside
+    which odds are those of the training counts. So probabilities add up to 1 over all
+    words and one unknown.
 
     Word counts are made and joined by Spark. The parameters are warmed up on a small
     sample, then trained on every shard of the training texts and averaged by Spark, so
@@ -369,7 +455,7 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     picked = training.filter(F.pmod("_k1", F.lit(1_000_000)) < math.ceil(share * 1_000_000))
     # All tasks scan; the few texts then go to one task, in an order of their own.
     sample = picked.repartition(1).sortWithinPartitions("_k1", "_k2").select(F.lit(0).alias("_shard"), "_text")
-    start = Trainer.start(own.noise)
+    start = Trainer.start(own.share, own.starts)
     warm = averaged(training_runs(sample, head, start, WARM_PASSES), start)
     # Shards by content, their number by the corpus: no score depends on files, splits or cores.
     shards = in_shards(training, max(1, math.ceil(total / SHARD_TOKENS)))
@@ -393,7 +479,7 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         .agg(F.sum("logs").alias("logs"), F.sum("known").alias("known"), F.sum("rows").alias("rows"))
     )
     base_norm = math.log10(total + ADDED * (distinct + 1))
-    rest_norm = math.log10(own.outside + ADDED * (distinct - (own.classes - 1) + 1))
+    rest_norm = math.log10(own.outside + ADDED * (distinct - len(own.item) + 1))
     tail_logs = F.col("logs") / F.col("rows")
     return scored.drop("tail").join(tails, ["_k1", "_k2"]).select(
         "doc_id",

@@ -168,14 +168,40 @@ def test_lm_probabilities_sum_to_one():
     import numpy as np
 
     rng = np.random.default_rng(0)
-    model = lm.Model(rng.normal(size=(7, lm.WIDTH)), rng.normal(size=(2, lm.WIDTH)), rng.normal(size=(6, lm.WIDTH)), rng.normal(size=6))
-    scorer = lm.Scorer(model)
-    for near, far in ((6, 6), (2, 6), (0, 3)):
-        words = np.arange(6)
-        total = (10 ** scorer.log10(np.full(6, near), np.full(6, far), words)).sum()
+    share = np.sort(rng.pareto(1, 40) + 0.01)[::-1]
+    starts = lm.class_starts(share / share.sum())
+    assert starts[0] == 0 and starts[-1] == 40 and 2 < len(starts) <= 8 and (np.diff(starts) > 0).all()
+    flat = rng.normal(size=len(lm.Model.start(share, starts).flat()))
+    scorer = lm.Scorer(lm.Model.of(flat, starts), starts)
+    for near, far in ((40, 40), (2, 40), (0, 3)):
+        words = np.arange(40)
+        total = (10 ** scorer.log10(np.full(40, near), np.full(40, far), words)).sum()
         assert total == pytest.approx(1, abs=1e-4)
 
 
+def test_lm_classes_have_about_equal_shares():
+    import numpy as np
+
+    share = 1 / np.arange(1, 10_001)
+    share /= share.sum()
+    starts = lm.class_starts(share)
+    masses = np.add.reduceat(share, starts[:-1])
+    assert 70 < len(starts) - 1 <= 100 and masses[np.diff(starts) > 1].max() < 0.021
+    # What a token costs on average: all classes, and the items of its own.
+    assert len(starts) - 1 + (masses * np.diff(starts)).sum() < 300
+
+
+def test_vocabulary_grows_with_the_corpus(spark, monkeypatch):
+    heads, own = [], lm.head_of
+    monkeypatch.setattr(lm, "head_of", lambda counts, total: (heads.append(own(counts, total)), heads[-1])[1])
+    for n in (200, 2_000):
+        random.seed(n)
+        words = [f"w{i}" for i in range(n)]
+        docs = [(i, " ".join(random.choices(words, k=50))) for i in range(n // 5)]
+        assert lm.score_texts(spark.createDataFrame(docs, "doc_id long, text string")).count() == len(docs)
+    assert len(heads[0].item) > 180 and len(heads[1].item) > 1_800
+
+
 def test_the_warm_up_sample_is_picked_by_all_tasks(spark, monkeypatch):
     """The scan under the sample keeps its tasks: there is a shuffle between it and the one training task."""
     plans, own = [], lm.training_runs
@@ -205,30 +231,38 @@ def test_scores_do_not_depend_on_the_split(spark, monkeypatch, shard_tokens):
 
 
 def test_scores_add_up_by_brute_force(spark, monkeypatch):
-    """Each text's score from the trained arrays, token by token over the whole normaliser."""
+    """Each text's score from the trained arrays, token by token, over all classes and all items of one."""
     import numpy as np
 
     trained, own = [], lm.partial_scores
     monkeypatch.setattr(lm, "partial_scores", lambda rows, head, model: (trained.append((head.value, model)), own(rows, head, model))[1])
-    monkeypatch.setattr(lm, "MODEL_WORDS", 12)
+    monkeypatch.setattr(lm, "MODEL_SHARE", 0.02)
     random.seed(4)
     words = [f"w{i}" for i in range(40)]
     texts = [(i, " ".join(random.choices(words, [1 / (k + 1) for k in range(40)], k=random.choice([0, 3, 30])))) for i in range(60)]
     got = {r["doc_id"]: r["score"] for r in lm.score_texts(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     head, flat = trained[0]
-    model, side = lm.Model.of(flat, head["classes"]), head["classes"]
+    starts, items = head["starts"], head["item"]
+    model, side = lm.Model.of(flat, starts), len(head["share"])
     counts = Counter(t for i, x in texts if zlib.crc32(str(i).encode()) % 10 for t in [*x.split(), lm.END])
-    outside = sum(c for t, c in counts.items() if head["index"][t.encode()] >= side - 1)
-    rest = outside + 0.1 * (len(counts) - (side - 1) + 1)
+    assert 5 < len(items) < 30 and len(starts) > 3
+    outside = sum(c for t, c in counts.items() if head["index"][t.encode()] >= len(items))
+    rest = outside + 0.1 * (len(counts) - len(items) + 1)
     for i, text in texts:
         near = far = side
         total = 0.0
         for token in [*text.split(), lm.END]:
             place = head["index"].get(token.encode(), -1)
-            word = place + 1 if 0 <= place < side - 1 else 0
-            logits = [float((model.context[near] * model.places[0] + model.context[far] * model.places[1]) @ o + b) for o, b in zip(model.output, model.bias)]
-            total += (logits[word] - np.logaddexp.reduce(logits)) / math.log(10)
-            if word == 0:
+            word = int(items[place]) if 0 <= place < len(items) else head["other"]
+            lead = model.context[near] * model.places[0] + model.context[far] * model.places[1]
+            group = int(np.searchsorted(starts, word, "right")) - 1
+            for vectors, bias, at in (
+                (model.groups, model.group_bias, group),
+                (model.output[starts[group] : starts[group + 1]], model.bias[starts[group] : starts[group + 1]], word - starts[group]),
+            ):
+                logits = [float(lead @ v + b) for v, b in zip(vectors, bias)]
+                total += (logits[at] - np.logaddexp.reduce(logits)) / math.log(10)
+            if word == head["other"]:
                 total += math.log10((counts[token] + 0.1) / rest)
             near, far = word, near
         assert got[i] == pytest.approx(total, abs=1e-3)
