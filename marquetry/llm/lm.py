@@ -23,9 +23,11 @@ ADDED, FOLDS = 0.1, 10
 #: A token that makes up this share of all tokens goes to every task, so there are a
 #: million of them at most. Counts of all others are joined.
 HEAD_SHARE = 1e-6
-#: A word with this share of all tokens has vectors of its own in the model; all others are
-#: one item with unigram odds inside. The shares of words settle as a corpus grows.
-MODEL_SHARE = 1e-5
+#: A word with this share of all tokens, or this many times the root of their number, has vectors
+#: of its own in the model, if it is in the head; all others are one item with unigram odds
+#: inside. The shares of words settle as a corpus grows, so from 10^8 tokens on the root
+#: lets more words in, until the bound of the head stands at 10^10.
+MODEL_SHARE, MODEL_ROOT = 1e-5, 0.1
 #: Size of word vectors, noise classes per batch, noise words per token, tokens per batch.
 WIDTH, NOISE, INNER, BATCH = 16, 16, 3, 4096
 #: Step of the training, and the sum of squared gradients with which each parameter starts.
@@ -323,7 +325,8 @@ def head_of(counts: DataFrame, total: int) -> Head:
     frequent = counts.filter(F.col("c") >= max(1.0, HEAD_SHARE * total)).toPandas()
     order = np.lexsort((frequent["token"], -frequent["c"], frequent["token"] != END))
     words, c = frequent["token"].to_numpy()[order], frequent["c"].to_numpy(np.int64)[order]
-    own = int((c >= max(1.0, max(MODEL_SHARE, HEAD_SHARE) * total)).sum())
+    least = max(1.0, HEAD_SHARE * total, min(MODEL_SHARE * total, MODEL_ROOT * math.sqrt(total)))
+    own = int((c >= least).sum())
     outside = total - int(c[:own].sum())
     share = np.concatenate([c[:own], [max(outside, 1)]]).astype(float)
     by_share = np.argsort(-share, kind="stable")
@@ -418,9 +421,9 @@ def score_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     ``base_score``, ``score``. Rows whose crc32 of the id leaves 0 when divided by 10
     are held out. The model predicts a token from the two before, in two steps, its
     class among all classes and itself among the items of its class, each normalised
-    over all of them. Every word with ``MODEL_SHARE`` of all tokens is an item with
-    vectors of its own, however many there are; all other words are one item, inside
-    which odds are those of the training counts. So probabilities add up to 1 over all
+    over all of them. Every word that is frequent enough (``MODEL_SHARE``,
+    ``MODEL_ROOT``) is an item with vectors of its own, however many there are; all
+    other words are one item, inside which odds are those of the training counts. So probabilities add up to 1 over all
     words and one unknown.
 
     Word counts are made and joined by Spark. The parameters are warmed up on a small

@@ -237,6 +237,7 @@ def test_scores_add_up_by_brute_force(spark, monkeypatch):
     trained, own = [], lm.partial_scores
     monkeypatch.setattr(lm, "partial_scores", lambda rows, head, model: (trained.append((head.value, model)), own(rows, head, model))[1])
     monkeypatch.setattr(lm, "MODEL_SHARE", 0.02)
+    monkeypatch.setattr(lm, "MODEL_ROOT", 100.0)
     random.seed(4)
     words = [f"w{i}" for i in range(40)]
     texts = [(i, " ".join(random.choices(words, [1 / (k + 1) for k in range(40)], k=random.choice([0, 3, 30])))) for i in range(60)]
