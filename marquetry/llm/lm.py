@@ -133,6 +133,7 @@ class Trainer:
         self.rng = np.random.default_rng(seed)
         self.model, squares = (Model.of(half, starts) for half in np.split(state, 2))
         self.squares = squares.parts()
+        self.sums = [np.zeros(x.size, np.float32) for x in self.squares]  # all 0 between steps
         self.starts, self.classes = starts, class_of(starts)
         inside = np.add.reduceat(share, starts[:-1])
         self.below_class = np.cumsum(inside / inside.sum())
@@ -153,16 +154,19 @@ class Trainer:
 
     def step(self, rows: np.ndarray, gradients: dict[int, np.ndarray]) -> None:
         """Change the ``rows`` of parameters, by their place among the parts, by the sums of their gradients."""
-        small = rows.astype(np.uint16) if len(self.model.context) < 1 << 16 else rows  # these sort faster
-        order = np.argsort(small, kind="stable")
-        ordered = rows[order]
-        first = np.flatnonzero(np.diff(ordered, prepend=-1))
-        own = ordered[first]
+        touched = np.zeros(len(self.model.context), bool)
+        touched[rows] = True
+        own = np.flatnonzero(touched)
         for part, gradient in gradients.items():
-            sums = np.add.reduceat(gradient[order], first)
-            square = self.squares[part][own] + sums * sums
-            self.squares[part][own] = square
-            self.model.parts()[part][own] += STEP * sums / np.sqrt(square)
+            flat, width = self.sums[part], gradient[0].size
+            cells = (rows[:, None] * width + np.arange(width)).ravel() if width > 1 else rows
+            np.add.at(flat, cells, gradient.ravel())
+            parameter, squares = self.model.parts()[part], self.squares[part]
+            sums = flat.reshape(parameter.shape)[own]
+            flat.reshape(parameter.shape)[own] = 0
+            square = squares[own] + sums * sums
+            squares[own] = square
+            parameter[own] += STEP * sums / np.sqrt(square)
 
     def batch(self, near: np.ndarray, far: np.ndarray, word: np.ndarray) -> None:
         m, own = self.model, self.classes[word]
@@ -341,7 +345,7 @@ class Scorer:
     """Log-probabilities of items: that of the class times that of the item in it, each normalised exactly."""
 
     #: Scores that are held at a time.
-    CELLS = 2_000_000
+    CELLS = 262_144
 
     def __init__(self, model: Model, starts: np.ndarray) -> None:
         self.model, self.starts, self.classes = model, starts, class_of(starts)
