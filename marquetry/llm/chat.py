@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquetry.functions.text import running
+
 #: The control strings of the template.
 TURN, BODY, END, STOP = "<s>", "[INST]", "[/INST]", "</s>"
 
@@ -36,8 +38,7 @@ def format_conversations(
     A segment has ``text``, ready to be joined with what stands before and behind,
     ``trainable``, and ``turn_no`` from 0. Only the bodies of ``trained_role`` are
     trainable. Every prefix of the segments that ends with a trainable one is a
-    training example (see :func:`prefix_examples`), so the contexts of all examples
-    of a conversation are stored once instead of once per example.
+    training example, which :func:`prefix_examples` writes out.
 
     Turns are ordered by turn, then role, then text, nulls first, so ties have a
     fixed order; repeated rows are repeated turns. Null roles and texts are empty,
@@ -83,24 +84,14 @@ def replies(segments: Column) -> Column:
 
 
 def prefix_examples(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
-    """Explode every trainable segment into its own example.
+    """Explode every trainable segment into its own example, with all that stands before it.
 
     Columns: ``conv``, ``example_no`` from 0, ``context_segments`` (how many of the
-    conversation's segments are the context of the reply), ``reply``. The context is
-    that prefix of ``segments``; :func:`render_examples` writes it out. A
-    conversation without trainable turn has no example.
-    """
-    examples = formatted.select(
-        F.col(conv).alias(conv), F.posexplode(replies(F.col("segments"))).alias("example_no", "_e")
-    )
-    return examples.select(conv, "example_no", "_e.context_segments", "_e.reply")
-
-
-def render_examples(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
-    """Examples with their whole context as text: ``conv``, ``example_no``, ``context``, ``reply``.
-
-    The loss covers ``reply`` only. This repeats a conversation's beginning once per
-    later reply, as a file of training examples does.
+    conversation's segments are the context), ``context``, these as text, and
+    ``reply``, which the loss covers alone. A conversation's beginning is repeated
+    once per later reply, as in a file of training examples; the tasks make one
+    example after the other and hold the context of one. A conversation without
+    trainable turn has no example.
     """
     examples = formatted.select(
         F.col(conv).alias(conv),
@@ -109,7 +100,12 @@ def render_examples(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
     )
     before = F.slice("segments", F.lit(1), F.col("_e.context_segments"))
     context = F.array_join(F.transform(before, lambda s: s["text"]), "")
-    return examples.select(conv, "example_no", context.alias("context"), "_e.reply")
+    return examples.select(conv, "example_no", "_e.context_segments", context.alias("context"), "_e.reply")
+
+
+def render_examples(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
+    """What a file of examples holds: ``conv``, ``example_no``, ``context``, ``reply``."""
+    return prefix_examples(formatted, conv).select(conv, "example_no", "context", "reply")
 
 
 def read_turns(formatted_text: Column) -> Column:
@@ -128,25 +124,44 @@ def read_turns(formatted_text: Column) -> Column:
     return F.transform(whole, turn)
 
 
-def examples_fit(examples: Column, turns: Column, trained_role: str = "assistant") -> Column:
-    """Whether ``examples`` are those of ``turns``: one per trained turn, in order, each
-    with the three segments of every turn before it and the opening of its own as context.
+def reply_starts(formatted_text: Column) -> Column:
+    """Of each turn of a formatted conversation, how many code points stand before its text."""
+    whole = F.filter(F.split(formatted_text, STOP), lambda t: t != "")
+    ends = running(F.transform(whole, lambda t: F.length(t) + len(STOP)))
+    return F.zip_with(whole, ends, lambda t, end: end - len(STOP) - F.length(t) + F.instr(t, BODY) + len(BODY) - 1)
+
+
+def examples_fit(examples: Column, whole: Column, turns: Column, trained_role: str = "assistant") -> Column:
+    """Whether ``examples`` are those of the formatted text ``whole`` with its ``turns``.
+
+    That is one per trained turn, in order, with the three segments of every turn
+    before it and the opening of its own as context: as many segments, as many code
+    points and, by a hash, the same text as stands before the reply in ``whole``.
     """
+    placed = F.zip_with(turns, reply_starts(whole), lambda t, start: F.struct(t["role"].alias("role"), t["text"].alias("reply"), start.alias("start")))
     asked = F.filter(
-        F.transform(
-            turns,
-            lambda t, i: F.struct((3 * i + 1).alias("context_segments"), t["text"].alias("reply"), t["role"].alias("role")),
-        ),
-        lambda t: t["role"] == trained_role,
+        F.transform(placed, lambda t, i: F.struct((3 * i + 1).alias("context_segments"), t.alias("t"))),
+        lambda x: x["t"]["role"] == trained_role,
     )
     made = F.transform(
         examples,
         lambda e: F.struct(
-            e["example_no"].alias("no"), e["context_segments"].alias("context_segments"), unescape(e["reply"]).alias("reply")
+            e["example_no"].alias("no"),
+            e["context_segments"].alias("context_segments"),
+            e["context_chars"].alias("context_chars"),
+            e["context_hash"].alias("context_hash"),
+            unescape(e["reply"]).alias("reply"),
         ),
     )
     numbered = F.transform(
-        asked, lambda t, i: F.struct(i.alias("no"), t["context_segments"].alias("context_segments"), t["reply"].alias("reply"))
+        asked,
+        lambda x, i: F.struct(
+            i.alias("no"),
+            x["context_segments"].alias("context_segments"),
+            x["t"]["start"].alias("context_chars"),
+            F.xxhash64(F.substring(whole, F.lit(1), x["t"]["start"])).alias("context_hash"),
+            x["t"]["reply"].alias("reply"),
+        ),
     )
     return made == numbered
 
@@ -155,26 +170,30 @@ def conversation_digests(turns: DataFrame) -> DataFrame:
     """What the formatted conversations and their examples say, as counts and digests.
 
     ``turns_sha256`` is read back from the joined text, the loss columns from the
-    exploded examples of :func:`prefix_examples` in their order. Every assistant turn
-    that is read back must have its example, with all that stands before its reply as
-    context; otherwise the query fails. Conversations without a reply have no loss.
+    exploded examples of :func:`prefix_examples` in their order. Every example is made
+    with its whole context; length and hash of that go on to where the examples of a
+    conversation meet. Every assistant turn that is read back must have its example,
+    with exactly what stands before its reply as context; otherwise the query fails.
+    Conversations without a reply have no loss.
     """
     formatted = format_conversations(turns)
     whole = F.array_join(F.transform("segments", lambda s: s["text"]), "")
     read = formatted.select("conv_id", whole.alias("whole")).withColumn("turns", read_turns(F.col("whole")))
-    example = F.struct("example_no", "context_segments", "reply")
+    context = [F.length("context").alias("context_chars"), F.xxhash64("context").alias("context_hash")]
+    example = F.struct("example_no", "context_segments", "context_chars", "context_hash", "reply")
     examples = (
         prefix_examples(formatted)
+        .select("conv_id", "example_no", "context_segments", *context, "reply")
         .groupBy("conv_id")
         .agg(F.sort_array(F.collect_list(example)).alias("examples"))
         .withColumnRenamed("conv_id", "_conv")
     )
     joined = read.join(examples, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
-    none = F.array().cast("array<struct<example_no:int,context_segments:int,reply:string>>")
+    none = F.array().cast("array<struct<example_no:int,context_segments:int,context_chars:int,context_hash:bigint,reply:string>>")
     told = joined.withColumn("examples", F.coalesce("examples", none))
     loss = F.array_join(F.transform("examples", lambda e: unescape(e["reply"])), "")
     wrong = F.raise_error(F.concat(F.lit("examples do not fit conversation "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
-    checked = F.when(examples_fit(F.col("examples"), F.col("turns")), loss).otherwise(wrong.cast("string"))
+    checked = F.when(examples_fit(F.col("examples"), F.col("whole"), F.col("turns")), loss).otherwise(wrong.cast("string"))
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return told.withColumn("loss", checked).select(
         "conv_id",

@@ -270,6 +270,27 @@ def test_chat_digests_come_from_the_examples(spark, monkeypatch):
             chat.conversation_digests(rows).collect()
 
 
+def test_chat_examples_carry_their_whole_context(spark, monkeypatch):
+    """Every example holds all turns before its reply, and the digests fail if one does not."""
+    long = [(9, i, ("user", "assistant")[i % 2], f"turn {i} </s> \U0001f600") for i in range(400)]
+    rows = spark.createDataFrame([*TURNS, *long], "conv_id long, turn long, role string, text string")
+    formatted = chat.format_conversations(rows)
+    segments = {r["conv_id"]: [s["text"] for s in r["segments"]] for r in formatted.collect()}
+    made = chat.prefix_examples(formatted).collect()
+    assert len(made) == 4 + 200
+    for r in made:
+        assert r["context"] == "".join(segments[r["conv_id"]][: r["context_segments"]])
+        assert r["context"].endswith(chat.TURN + "assistant" + chat.BODY)
+    got = {r["conv_id"]: r["loss_chars"] for r in chat.conversation_digests(rows).collect()}
+    assert got[9] == sum(len(t[3]) for t in long[1::2])
+    whole = chat.prefix_examples
+    # As long as the right context, but not it; and the own turn alone.
+    for wrong in (F.regexp_replace("context", "^<s>.", "<s>!"), F.substring_index("context", chat.STOP, -1)):
+        monkeypatch.setattr(chat, "prefix_examples", lambda f, conv="conv_id", w=wrong: whole(f, conv).withColumn("context", w))
+        with pytest.raises(Exception, match="examples do not fit"):
+            chat.conversation_digests(rows).collect()
+
+
 def test_revealing_words_far_away_and_elsewhere(spark):
     """A name 100 characters off, an id with digits, two contexts only, and documents without the entity."""
     random.seed(3)
