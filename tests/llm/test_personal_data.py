@@ -162,6 +162,34 @@ def test_the_general_form_gives_single_entities_support(spark):
     assert not any(spans[i] for i in range(8, 208))
 
 
+def test_contexts_are_counted_exactly(spark, monkeypatch):
+    """More contexts than a word has bits, and two contexts that set the same bit."""
+    rng = random.Random(4)
+
+    def filler(n: int) -> str:
+        return " ".join(f"pad{rng.randrange(100_000)}" for _ in range(n))
+
+    texts = [f"quorn {filler(12)} at z@x.org {filler(12)}" for _ in range(150)]
+    texts += [f"quorn {filler(12)}" for _ in range(80)] + [filler(14) for _ in range(1_700)]
+
+    def bit(text: str) -> int:
+        [(_, start, end)] = base_spans(text)
+        return hashed(text[max(start - pii.REACH - 1, 0) : start], text[end : end + pii.REACH + 1]) % pii.MASK_BITS
+
+    first = f"zorro {filler(14)} to u@y.net {filler(14)}"
+    second = next(t for t in iter(lambda: f"zorro {filler(14)} to u@y.net {filler(14)}", "") if bit(t) == bit(first) and t != first)
+    third = f"ulla {filler(14)} to v@w.net {filler(14)}"
+    texts += [first, second, third, third]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: sorted((t["verdict"], t["start"], t["end"]) for t in r["terms"]) for r in pii.find_personal_data(rows).collect()}
+    capped = verdicts(texts)
+    monkeypatch.setitem(globals(), "bits", lambda values: len(set(values)))
+    found = verdicts(texts)
+    assert {"quorn", "zorro"} <= set(found) and not {"quorn", "zorro"} & set(capped) and "ulla" not in found
+    for i, text in enumerate(texts):
+        assert got[i] == marked(text, found), text
+
+
 def test_very_many_addresses_in_one_text(spark):
     text = " ".join(f"u{i}@h{i % 97}.example" for i in range(200_000))
     rows = spark.createDataFrame([(1, text), (2, "plain")], "doc_id long, text string")
