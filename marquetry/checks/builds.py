@@ -187,6 +187,12 @@ def build_crew(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def listed_crew(spark: SparkSession, sf: str) -> DataFrame:
+    """The credits that gold lists."""
+    inputs = [frame(spark, sf, x) for x in (TITLE_CREW, PRINCIPALS, NAMES, BASICS)]
+    return crew.build_crew(*inputs, categories=list(gold.CREDIT_LISTS.values()), attributes=["name"])
+
+
 # Copies of credits stay, and people without known titles keep theirs.
 CREW_ALL_SQL = CREW_SQL.replace("UNION SELECT *", "UNION ALL SELECT *").replace("JOIN labels", "LEFT JOIN labels")
 
@@ -199,18 +205,19 @@ def crew_options(spark: SparkSession, sf: str) -> DataFrame:
 
 @check(GOLD_SQL)
 def build_gold(spark: SparkSession, sf: str) -> DataFrame:
-    # As in a refresh, gold reads silver tables that were written before.
+    # Titles and revenue rows are read several times, so they are written once, as in a refresh.
+    # Gold reads the others once: they are not written, and only what it asks of them is made.
     silver = run_together(
         spark,
         {
             "title": lambda: stage(build_title(spark, sf), "title"),
             "gross": lambda: stage(frame(spark, sf, GROSS_ROWS), "gross"),
-            "crew": lambda: stage(build_crew(spark, sf), "crew"),
-            "top": lambda: stage(build_top_title(spark, sf), "top_title"),
+            "crew": lambda: listed_crew(spark, sf),
+            "top": lambda: build_top_title(spark, sf),
         },
         parallelism=4,
     )
-    revenue = stage(boxoffice.build_boxoffice(silver["gross"], silver["title"]), "boxoffice")
+    revenue = boxoffice.build_boxoffice(silver["gross"], silver["title"])
     built = gold.build_gold(silver["title"], silver["crew"], silver["top"], revenue, RUN_DATE)
     return built.withColumn("last_refresh_date", F.col("last_refresh_date").cast("string"))
 

@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.groups import sorted_set
 from ..operators.joins import skew_join
 from ..operators.reshape import explode_list, unpivot_lists
+from ..sources.scratch import stage
 
 # Categories that come from the per-title lists instead of the
 # principal credits.
 LISTED = {"director": "directors", "writer": "writers"}
+# What is kept of a person.
+ATTRIBUTES = ["name", "birth_year", "death_year", "primary_profession", "known_for_titles"]
 
 
-def build_credits(title_crew: DataFrame, principals: DataFrame, dedupe: bool = True) -> DataFrame:
-    """(tconst, category, nconst); a credit without category is left out."""
-    listed = unpivot_lists(title_crew, "tconst", LISTED, "category", "nconst")
+def build_credits(
+    title_crew: DataFrame, principals: DataFrame, dedupe: bool = True, categories: Sequence[str] | None = None
+) -> DataFrame:
+    """(tconst, category, nconst) of the ``categories`` (all, by default); a credit without category is left out."""
+    lists = {c: column for c, column in LISTED.items() if categories is None or c in categories}
+    listed = unpivot_lists(title_crew, "tconst", lists, "category", "nconst") if lists else None
     others = principals.filter(~F.col("category").isin(*LISTED)).select("tconst", "category", "nconst")
-    both = others.union(listed.select("tconst", "category", "nconst"))
+    if categories is not None:
+        others = others.filter(F.col("category").isin(*categories))
+    both = others.union(listed.select("tconst", "category", "nconst")) if lists else others
     return both.distinct() if dedupe else both
 
 
@@ -51,19 +61,20 @@ def build_crew(
     basics: DataFrame,
     dedupe: bool = True,
     keep_without_titles: bool = False,
+    categories: Sequence[str] | None = None,
+    attributes: Sequence[str] = ATTRIBUTES,
 ) -> DataFrame:
-    """Credits with person attributes; a person with very many credits is salted."""
-    credits = build_credits(title_crew, principals, dedupe)
-    people = build_people(names, basics, keep_without_titles)
-    return skew_join(credits, people, ["nconst"], derived=True).select(
-        "tconst",
-        "category",
-        "name",
-        "birth_year",
-        "death_year",
-        "primary_profession",
-        "known_for_titles",
-    )
+    """Credits with person attributes; a person with very many credits is salted.
+
+    ``categories`` and ``attributes`` say which credits and what of a person are wanted, if
+    not all; the rest is never moved. There are far fewer people than credits, so they are
+    staged and Spark knows their size: up to its threshold they are sent to the credits,
+    beyond it both are shuffled.
+    """
+    credits = build_credits(title_crew, principals, dedupe, categories)
+    people = build_people(names, basics, keep_without_titles).select("nconst", *attributes)
+    joined = skew_join(credits, stage(people, "people"), ["nconst"], derived=True)
+    return joined.select("tconst", "category", *attributes)
 
 
 def clustered(crew: DataFrame) -> DataFrame:

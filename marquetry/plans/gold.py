@@ -28,11 +28,11 @@ COLUMNS = [
 ]
 
 
-def credit_lists(crew: DataFrame) -> DataFrame:
-    """Director, actor and actress names per title."""
+def credit_lists(crew: DataFrame, copied: bool = True) -> DataFrame:
+    """Director, actor and actress names per title; not ``copied``: each person's credit is one row."""
     listed = crew.filter(F.col("category").isin(*CREDIT_LISTS.values()))
     tests = {name: F.col("category") == category for name, category in CREDIT_LISTS.items()}
-    return cond_list(listed, ["tconst"], F.col("name"), tests)
+    return cond_list(listed, ["tconst"], F.col("name"), tests, copied=copied)
 
 
 def gold_star(
@@ -72,7 +72,9 @@ def build_gold(
 
     Lists and revenue join the titles once, and the result is staged: both ranks sort
     its narrow key columns, and it then meets the credit lists and the ranks one-to-one.
-    The lists of credits are never moved after their own aggregation.
+    The lists of credits are never moved after their own aggregation, and come from the
+    credits in one shuffle: a person is listed once per credit, so a title has as many
+    rows as its lists have names. ``crew``, ``top`` and ``boxoffice`` are read once.
     """
     by_strength = [*[F.col(c).desc_nulls_last() for c in STRENGTH], F.col("tconst").asc()]
     by_popularity = [
@@ -100,7 +102,7 @@ def build_gold(
         parallelism=2,
     )
     return (
-        titles.join(credit_lists(crew), "tconst", "left")
+        titles.join(credit_lists(crew, copied=False), "tconst", "left")
         .join(ranks["popularity"], "tconst")
         .join(ranks["charted"], "tconst")
         .withColumns({"top_title_rnk": F.col("_chart_rnk"), "last_refresh_date": day})

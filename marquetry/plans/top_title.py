@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import yes_no
-from ..operators.groups import cond_max, sorted_set
+from ..operators.groups import cond_max
 from ..operators.pages import NO_ID
 from ..sources.scratch import stage
 
@@ -70,8 +70,8 @@ def described(kinds: DataFrame) -> DataFrame:
     )
 
 
-def looked_up(list_rows: DataFrame, lang: DataFrame | None) -> DataFrame:
-    """List rows with overall rank, boolean flags and, given ``lang``, the language name.
+def typed_rows(list_rows: DataFrame, lang: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The list rows, and each of their list types described, with the language name given ``lang``.
 
     There are far fewer list types than rows, so the patterns run once per type and
     the rows look the outcome up; the types are staged, so Spark knows their size and
@@ -81,10 +81,19 @@ def looked_up(list_rows: DataFrame, lang: DataFrame | None) -> DataFrame:
     lists = described(typed.select("type").distinct())
     if lang is not None:
         lists = lists.join(lang.select("lang_code", "lang_name"), "lang_code", "left")
-    rows = typed.join(stage(lists, "lists"), "type", "left")
+    return typed, stage(lists, "lists")
+
+
+def with_overall_rank(typed: DataFrame, lists: DataFrame) -> DataFrame:
+    rows = typed.join(lists, "type", "left")
     return rows.withColumn("rnk", F.col("rnk").cast("bigint") + F.col("_before")).drop("_before")
 
 
+def looked_up(list_rows: DataFrame, lang: DataFrame | None) -> DataFrame:
+    """List rows with overall rank, boolean flags and, given ``lang``, the language name."""
+    return with_overall_rank(*typed_rows(list_rows, lang))
+
+
 def flag_lists(list_rows: DataFrame, lang: DataFrame | None = None) -> DataFrame:
     """List rows with overall rank, Y/N flags and, given ``lang``, the language name."""
     rows = looked_up(list_rows, lang)
@@ -92,13 +101,21 @@ def flag_lists(list_rows: DataFrame, lang: DataFrame | None = None) -> DataFrame
     return rows.withColumns({name: yes_no(F.col(name)) for name in flags})
 
 
+#: Languages whose marks one number holds.
+MARKS = 62
+
+
 def build_top_title(list_rows: DataFrame, lang: DataFrame) -> DataFrame:
     """Languages, ranks and flags per title, in one aggregate.
 
-    Maxima combine map-side, so a title listed very often sends one partial row per
-    task; its languages are a set no larger than the number of languages.
+    Everything combines map-side in buffers of fixed size, so a title listed very often
+    sends one partial row per task: maxima, and a bit for each language that any list
+    type names, in as many numbers as that takes.
     """
     known = list_rows.filter(F.col("tconst").isNotNull() & (F.col("tconst") != NO_ID))
+    typed, lists = typed_rows(known, lang)
+    # No more than there are languages.
+    names = sorted(r[0] for r in lists.select("lang_name").distinct().collect() if r[0] is not None)
     primary = F.col("is_primary_lang")
     ranks = {
         "top_title_rnk": F.col("is_top_title"),
@@ -106,14 +123,34 @@ def build_top_title(list_rows: DataFrame, lang: DataFrame) -> DataFrame:
         "language_popularity_rnk": primary & F.col("is_asc"),
         "language_votes_rnk": primary & F.col("is_desc"),
     } | {rank: F.col(f"on_{rank}") for rank in CHARTS}
-    languages = sorted_set(F.col("lang_name"))
+    place = F.array_position(F.lit(names).cast("array<string>"), F.col("lang_name")) - 1
+    words = range(0, len(names), MARKS)
+
+    def own(word: int) -> Column:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_lang") - word).cast("int"))
+        return F.bit_or(F.when(F.col("_lang").between(word, word + MARKS - 1), bit)).alias(f"_langs{word}")
+
+    def named(word: int) -> Column:
+        marks = F.coalesce(F.col(f"_langs{word}"), F.lit(0).cast("long"))
+        part = F.lit(names[word : word + MARKS]).cast("array<string>")
+        return F.filter(part, lambda name, i: F.call_function("shiftright", marks, i).bitwiseAND(F.lit(1).cast("long")) == 1)
+
+    languages = F.concat(*[named(w) for w in words]) if names else F.array().cast("array<string>")
     return (
-        looked_up(known, lang)
+        with_overall_rank(typed, lists.withColumn("_lang", place).drop("lang_name"))
         .groupBy("tconst")
         .agg(
-            F.when(F.size(languages) > 0, F.array_join(languages, "; ")).alias("language_lst"),
+            *[own(w) for w in words],
             *cond_max(ranks, F.col("rnk")),
             yes_no(F.max("in_top_1000")).alias("is_top_1000_movie"),
             yes_no(F.max("is_top_title")).alias("is_top_title"),
         )
+        .withColumn("_names", languages)
+        .select(
+            "tconst",
+            F.when(F.size("_names") > 0, F.array_join("_names", "; ")).alias("language_lst"),
+            *ranks,
+            "is_top_1000_movie",
+            "is_top_title",
+        )
     )

@@ -143,3 +143,44 @@ def test_people_attributes_wait_for_the_person_join(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", True)
+
+
+def test_gold_moves_credits_once_for_its_lists(spark):
+    """People are sent to the credits, what gold does not list is not made, and one shuffle makes the lists."""
+    from marquetry.checks.builds import listed_crew
+    from marquetry.plans.gold import credit_lists
+
+    crew = listed_crew(spark, SF)
+    assert crew.columns == ["tconst", "category", "name"]
+    assert {r[0] for r in crew.select("category").distinct().collect()} == {"director", "actor", "actress"}
+    plan = plan_of(credit_lists(crew, copied=False))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "known_for_titles" not in plan and "birth_year" not in plan
+
+
+def test_lists_without_counting_are_the_same(spark):
+    from marquetry.checks.builds import listed_crew
+    from marquetry.plans.gold import credit_lists
+
+    crew = listed_crew(spark, SF)
+    one, two = credit_lists(crew, copied=False), credit_lists(crew)
+    assert one.count() > 100 and one.exceptAll(two).count() == two.exceptAll(one).count() == 0
+
+
+def test_list_memberships_combine_in_fixed_buffers(spark):
+    """No set per title, also with more languages than a number has bits."""
+    from marquetry.plans.top_title import MARKS, build_top_title
+
+    codes = [a + b for a in "abcdefghijklm" for b in "abcdefghijklm"]
+    rows = [(f"tt{i % 7}", 1 + i % 250, f"?primary_language={c}&sort=num_votes,desc") for i, c in enumerate(codes)]
+    rows += [("tt0", 5, "top"), ("tt9", 6, "other"), ("tt9", 2, None), ("tt8", 3, "?primary_language=zz&sort=moviemeter,asc")]
+    lists = spark.createDataFrame(rows, "tconst string, rnk long, type string")
+    lang = spark.createDataFrame([(c, f"{c.upper()} name") for c in codes], "lang_code string, lang_name string")
+    made = build_top_title(lists, lang)
+    assert len(codes) > 2 * MARKS and "ObjectHashAggregate" not in plan_of(made)
+    got = {r["tconst"]: r for r in made.collect()}
+    for i in range(7):
+        assert got[f"tt{i}"]["language_lst"] == "; ".join(sorted(f"{c.upper()} name" for c in codes[i::7]))
+    assert got["tt8"]["language_lst"] is None and got["tt9"]["language_lst"] is None and got["tt0"]["top_250_movie_rnk"] == 5
+    empty = build_top_title(lists.filter("tconst = 'tt9'"), lang.limit(0)).collect()
+    assert [r["language_lst"] for r in empty] == [None]
