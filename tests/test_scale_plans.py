@@ -184,3 +184,12 @@ def test_list_memberships_combine_in_fixed_buffers(spark):
     assert got["tt8"]["language_lst"] is None and got["tt9"]["language_lst"] is None and got["tt0"]["top_250_movie_rnk"] == 5
     empty = build_top_title(lists.filter("tconst = 'tt9'"), lang.limit(0)).collect()
     assert [r["language_lst"] for r in empty] == [None]
+
+
+def test_the_report_page_does_not_write_gold(spark, monkeypatch):
+    from marquetry.checks import builds
+
+    seen, own = [], builds.stage
+    monkeypatch.setattr(builds, "stage", lambda df, label: (seen.append(label), own(df, label))[1])
+    entry.queries()["report_overview"](spark, SF)
+    assert "title" in seen and not {"gold", "crew", "top_title", "boxoffice"} & set(seen)
